@@ -21,12 +21,12 @@ def best_run(
     run: str = "run_id",
     started: str = "start_time",
 ) -> DataFrame:
-    """The run with the greatest (or least) value of the metric; of equals the newest, then the lowest id.
+    """The run with the greatest (or least) value of the metric; of equals the newest, then the greatest id.
 
     No row comes back when no run has the metric.
     """
     worth = -F.col("value") if ascending else F.col("value")
-    best = F.max_by(F.struct(run, "value"), F.struct(worth, F.col(started), -F.xxhash64(run)))
+    best = F.max_by(F.struct(run, "value"), F.struct(worth, F.col(started), F.col(run)))
     rows = valid_metrics(df.filter(F.col("metric") == metric))
     return rows.agg(best.alias("best")).filter(F.col("best").isNotNull()).select("best.*")
 
