@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import time
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,17 +63,13 @@ def check_columns(df: DataFrame, spec: FeatureSpec) -> None:
 def conditional_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """All features in one wide aggregate, for windows of any shape."""
     check_columns(df, spec)
-    numeric = _numeric_view(df)
-
-    def aggregate(feature: Feature) -> Column:
-        condition = reduce(Column.__and__, [_holds(feature.conditions), F.col(feature.window)])
-        if feature.aggregation in ("AVG", "STDDEV"):
-            value = F.when(condition, numeric[feature.column])
-            return F.avg(value) if feature.aggregation == "AVG" else F.stddev_samp(value)
-        value = F.when(condition, F.col(feature.column))
-        return {"COUNT": F.count, "MIN": F.min, "MAX": F.max}[feature.aggregation](value)
-
-    return df.groupBy(*spec.entities).agg(*(aggregate(f).alias(f.name) for f in spec.features()))
+    values = _Values(df)
+    calls = {"COUNT": "count", "MIN": "min", "MAX": "max", "AVG": "avg", "STDDEV": "stddev_samp"}
+    aggregates = [
+        f"{calls[f.aggregation]}(CASE WHEN {_all_of(f.conditions)} AND `{f.window}` THEN {values.of(f)} END)"
+        for f in spec.features()
+    ]
+    return _aggregate(df, spec.entities, {f.name: sql for f, sql in zip(spec.features(), aggregates, strict=True)})
 
 
 def lookback_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -85,58 +81,45 @@ def lookback_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     second adds up rings, at most one row per window for each entity.
     """
     check_columns(df, spec)
+    values = _Values(df)
     windows = sorted(spec.windows, key=window_millis)
     reach = {w: i for i, w in enumerate(windows)}
-    ring = F.coalesce(*(F.when(F.col(w), F.lit(i)) for w, i in reach.items()), F.lit(len(windows)))
-
-    numeric = _numeric_view(df)
+    ring = " ".join(f"WHEN `{w}` THEN {i}" for w, i in reach.items())
     features = spec.features()
-    states: dict[str, Column] = {}
+
+    states: dict[str, str] = {}
     prefixes: dict[tuple[str, tuple[Condition, ...]], str] = {}
     for feature in features:
-        key = (feature.column, feature.conditions)
-        prefix = prefixes.setdefault(key, f"s{len(prefixes)}")
-        raw = F.when(_holds(feature.conditions), F.col(feature.column))
-        number = F.when(_holds(feature.conditions), numeric[feature.column])
-        wanted = {
-            "COUNT": {"n": F.count(raw)},
-            "MIN": {"min": F.min(raw)},
-            "MAX": {"max": F.max(raw)},
-            "AVG": {"n": F.count(raw), "sum": F.sum(number)},
-            "STDDEV": {"n": F.count(raw), "mean": F.avg(number), "var": F.var_pop(number)},
-        }[feature.aggregation]
-        states.update({f"{prefix}_{part}": column for part, column in wanted.items()})
-
-    rings = df.withColumn("_ring", ring).groupBy(*spec.entities, "_ring")
-    rings = rings.agg(*(column.alias(name) for name, column in states.items()))
-
-    merged, spreads = {}, {}
+        prefix = prefixes.setdefault((feature.column, feature.conditions), f"s{len(prefixes)}")
+        for part in _STATES[feature.aggregation]:
+            value = values.number(feature.column) if part in _NUMERIC_STATES else f"`{feature.column}`"
+            held = f"CASE WHEN {_all_of(feature.conditions)} THEN {value} END"
+            states[f"{prefix}_{part}"] = _STATE_SQL[part].format(held)
+    ringed = df.withColumn("_ring", F.expr(f"CASE {ring} ELSE {len(windows)} END"))
+    rings = _aggregate(ringed, [*spec.entities, "_ring"], states)
+
+    merged: dict[str, str] = {}
+    final: list[str] = []
     for feature in features:
         prefix = prefixes[feature.column, feature.conditions]
         last = reach[feature.window]
 
-        def within(part: str, prefix: str = prefix, last: int = last) -> Column:
-            return F.when(F.col("_ring") <= last, F.col(f"{prefix}_{part}"))
-
-        count = F.coalesce(F.sum(within("n")), F.lit(0).cast("long"))
-        if feature.aggregation == "COUNT":
-            merged[feature.name] = count
-        elif feature.aggregation == "MIN":
-            merged[feature.name] = F.min(within("min"))
-        elif feature.aggregation == "MAX":
-            merged[feature.name] = F.max(within("max"))
-        elif feature.aggregation == "AVG":
-            merged[feature.name] = F.try_divide(F.sum(within("sum")), F.sum(within("n")))
-        else:
-            # At most one ring row per window for an entity, so this list is short.
-            parts = F.struct(*(F.col(f"{prefix}_{p}").alias(p) for p in ("n", "mean", "var")))
-            merged[f"_{prefix}"] = F.collect_list(
-                F.when(F.col(f"{prefix}_n") > 0, F.struct(F.col("_ring").alias("ring"), parts.alias("part")))
-            )
-            spreads[feature.name] = _stddev_of_rings(F.col(f"_{prefix}"), last)
-
-    wide = rings.groupBy(*spec.entities).agg(*(column.alias(name) for name, column in merged.items()))
-    return wide.select(*spec.entities, *(spreads.get(f.name, F.col(f.name)).alias(f.name) for f in features))
+        def within(part: str, prefix: str = prefix, last: int = last) -> str:
+            return f"CASE WHEN _ring <= {last} THEN {prefix}_{part} END"
+
+        if feature.aggregation == "STDDEV":
+            merged[f"_{prefix}"] = _RINGS_SQL.format(p=prefix)
+            final.append(f"{_DEVIATION_SQL.format(rings=f'_{prefix}', last=last)} AS `{feature.name}`")
+            continue
+        merged[feature.name] = {
+            "COUNT": f"coalesce(sum({within('n')}), 0L)",
+            "MIN": f"min({within('min')})",
+            "MAX": f"max({within('max')})",
+            "AVG": f"try_divide(sum({within('sum')}), sum({within('n')}))",
+        }[feature.aggregation]
+        final.append(f"`{feature.name}`")
+    wide = _aggregate(rings, spec.entities, merged)
+    return wide.selectExpr(*(f"`{e}`" for e in spec.entities), *final)
 
 
 def wide_features(df: DataFrame, spec: FeatureSpec, nested: bool = True) -> DataFrame:
@@ -144,29 +127,56 @@ def wide_features(df: DataFrame, spec: FeatureSpec, nested: bool = True) -> Data
     return lookback_features(df, spec) if nested else conditional_features(df, spec)
 
 
-def _stddev_of_rings(rings: Column, last: int) -> Column:
-    """Sample deviation from ring counts, means and variances (parallel variance rule)."""
-    parts = F.transform(F.filter(rings, lambda r: r["ring"] <= last), lambda r: r["part"])
+# States kept per ring: what each aggregation needs to be put together again.
+_STATES = {
+    "COUNT": ("n",),
+    "MIN": ("min",),
+    "MAX": ("max",),
+    "AVG": ("n", "sum"),
+    "STDDEV": ("n", "mean", "var"),
+}
+_STATE_SQL = {
+    "n": "count({})",
+    "min": "min({})",
+    "max": "max({})",
+    "sum": "sum({})",
+    "mean": "avg({})",
+    "var": "var_pop({})",
+}
+_NUMERIC_STATES = ("sum", "mean", "var")
+
+# At most one ring row per window for an entity, so this list is short.
+_RINGS_SQL = """collect_list(CASE WHEN {p}_n > 0 THEN named_struct(
+  'ring', _ring, 'n', CAST({p}_n AS DOUBLE), 'mean', CAST({p}_mean AS DOUBLE), 'm2', {p}_var * {p}_n) END)"""
+
+# Means and squared deviations of two parts give those of their union.
+_DEVIATION_SQL = """aggregate(
+  filter({rings}, r -> r.ring <= {last}),
+  named_struct('n', 0D, 'mean', 0D, 'm2', 0D),
+  (a, r) -> named_struct(
+    'n', a.n + r.n,
+    'mean', a.mean + (r.mean - a.mean) * r.n / (a.n + r.n),
+    'm2', a.m2 + r.m2 + (r.mean - a.mean) * (r.mean - a.mean) * a.n * r.n / (a.n + r.n)),
+  a -> CASE WHEN a.n > 1 THEN sqrt(a.m2 / (a.n - 1)) END)"""
+
+
+def _aggregate(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, str]) -> DataFrame:
+    # SQL text, as a spec's conditions are: hundreds of columns are slow to build call by call.
+    return df.groupBy(*keys).agg(*(F.expr(f"{sql} AS `{name}`") for name, sql in aggregates.items()))
 
-    def total(values: Column, of) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda acc, p: acc + of(p))
 
-    def with_mean(state: Column) -> Column:
-        within = total(state["parts"], lambda p: p["n"] * p["var"])
-        between = total(state["parts"], lambda p: p["n"] * F.pow(p["mean"] - state["mean"], F.lit(2.0)))
-        return F.when(state["n"] > 1, F.sqrt((within + between) / (state["n"] - 1)))
+def _all_of(conditions: tuple[Condition, ...]) -> str:
+    return " AND ".join(f"({c.sql})" for c in conditions) or "TRUE"
 
-    count = total(parts, lambda p: p["n"].cast("double"))
-    mean = F.try_divide(total(parts, lambda p: p["n"] * p["mean"]), count)
-    state = F.array(F.struct(parts.alias("parts"), count.alias("n"), mean.alias("mean")))
-    return F.element_at(F.transform(state, with_mean), 1)
 
+class _Values:
+    """Column references; averages take numbers, so a boolean counts as 0 or 1 there."""
 
-def _holds(conditions: tuple[Condition, ...]) -> Column:
-    return reduce(Column.__and__, (F.expr(c.sql) for c in conditions), F.lit(True))
+    def __init__(self, df: DataFrame):
+        self._boolean = {f.name for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)}
 
+    def number(self, column: str) -> str:
+        return f"CAST(CAST(`{column}` AS INT) AS DOUBLE)" if column in self._boolean else f"`{column}`"
 
-def _numeric_view(df: DataFrame) -> dict[str, Column]:
-    """Averages take numbers, so a boolean counts as 0 or 1."""
-    boolean = {f.name for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)}
-    return {c: F.col(c).cast("int").cast("double") if c in boolean else F.col(c) for c in df.columns}
+    def of(self, feature: Feature) -> str:
+        return self.number(feature.column) if feature.aggregation in ("AVG", "STDDEV") else f"`{feature.column}`"
