@@ -78,7 +78,9 @@ def lookback_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     Each row lies in one ring: the shortest window that holds it. The first
     aggregate keeps one state per (column, condition) and ring, which is few
     enough columns for generated code and is combined on the map side. The
-    second adds up rings, at most one row per window for each entity.
+    second adds up rings, at most one row per window for each entity; these
+    narrow rows are moved to their entity first, as partial results of the
+    second aggregate would be as wide as the output.
     """
     check_columns(df, spec)
     values = _Values(df)
@@ -108,8 +110,10 @@ def lookback_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
             return f"CASE WHEN _ring <= {last} THEN {prefix}_{part} END"
 
         if feature.aggregation == "STDDEV":
-            merged[f"_{prefix}"] = _RINGS_SQL.format(p=prefix)
-            final.append(f"{_DEVIATION_SQL.format(rings=f'_{prefix}', last=last)} AS `{feature.name}`")
+            inner = range(last + 1)
+            merged |= {f"_{prefix}_{i}": _RING_SQL.format(p=prefix, ring=i) for i in inner}
+            rings_sql = ", ".join(f"_{prefix}_{i}" for i in inner)
+            final.append(f"{_DEVIATION_SQL.format(rings=rings_sql)} AS `{feature.name}`")
             continue
         merged[feature.name] = {
             "COUNT": f"coalesce(sum({within('n')}), 0L)",
@@ -118,7 +122,7 @@ def lookback_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
             "AVG": f"try_divide(sum({within('sum')}), sum({within('n')}))",
         }[feature.aggregation]
         final.append(f"`{feature.name}`")
-    wide = _aggregate(rings, spec.entities, merged)
+    wide = _aggregate(rings.repartition(*spec.entities), spec.entities, merged)
     return wide.selectExpr(*(f"`{e}`" for e in spec.entities), *final)
 
 
@@ -145,18 +149,20 @@ _STATE_SQL = {
 }
 _NUMERIC_STATES = ("sum", "mean", "var")
 
-# At most one ring row per window for an entity, so this list is short.
-_RINGS_SQL = """collect_list(CASE WHEN {p}_n > 0 THEN named_struct(
-  'ring', _ring, 'n', CAST({p}_n AS DOUBLE), 'mean', CAST({p}_mean AS DOUBLE), 'm2', {p}_var * {p}_n) END)"""
+# One ring's (count, mean, squared deviation); an entity has one row per ring.
+_RING_SQL = """named_struct(
+  'n', coalesce(max(CASE WHEN _ring = {ring} THEN {p}_n END), 0L),
+  'mean', max(CASE WHEN _ring = {ring} THEN {p}_mean END),
+  'm2', max(CASE WHEN _ring = {ring} THEN {p}_var * {p}_n END))"""
 
 # Means and squared deviations of two parts give those of their union.
 _DEVIATION_SQL = """aggregate(
-  filter({rings}, r -> r.ring <= {last}),
-  named_struct('n', 0D, 'mean', 0D, 'm2', 0D),
-  (a, r) -> named_struct(
+  array({rings}),
+  named_struct('n', 0L, 'mean', 0D, 'm2', 0D),
+  (a, r) -> CASE WHEN r.n = 0 THEN a ELSE named_struct(
     'n', a.n + r.n,
     'mean', a.mean + (r.mean - a.mean) * r.n / (a.n + r.n),
-    'm2', a.m2 + r.m2 + (r.mean - a.mean) * (r.mean - a.mean) * a.n * r.n / (a.n + r.n)),
+    'm2', a.m2 + r.m2 + (r.mean - a.mean) * (r.mean - a.mean) * a.n * r.n / (a.n + r.n)) END,
   a -> CASE WHEN a.n > 1 THEN sqrt(a.m2 / (a.n - 1)) END)"""
 
 
