@@ -122,7 +122,9 @@ def lookback_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
             "AVG": f"try_divide(sum({within('sum')}), sum({within('n')}))",
         }[feature.aggregation]
         final.append(f"`{feature.name}`")
-    wide = _aggregate(rings.repartition(*spec.entities), spec.entities, merged)
+    # One hash column, as a snapshot date is a constant that plans fold away from the keys.
+    home = rings.withColumn("_home", F.xxhash64(*spec.entities)).repartition("_home")
+    wide = _aggregate(home, ["_home", *spec.entities], merged)
     return wide.selectExpr(*(f"`{e}`" for e in spec.entities), *final)
 
 

@@ -49,6 +49,8 @@ def with_buckets(df: DataFrame, cuts: Mapping[str, Sequence[float]]) -> DataFram
     if not edges:
         return df
     names = {c: f"{c}_bucket" for c in edges}
+    # The bucketizer puts -0.0 below 0.0, although they are equal values.
+    df = df.withColumns({c: F.col(c) + F.lit(0.0) for c in edges})
     bucketizer = Bucketizer(
         splitsArray=list(edges.values()),
         inputCols=list(edges),
@@ -65,7 +67,7 @@ def with_buckets(df: DataFrame, cuts: Mapping[str, Sequence[float]]) -> DataFram
 
 def _edges(points: Sequence[float]) -> list[float]:
     infinity = float("inf")
-    inner = [p for p in points if -infinity < p < infinity] or [0.0]
+    inner = [p + 0.0 for p in points if -infinity < p < infinity] or [0.0]
     return [-infinity, *inner, infinity]
 
 
