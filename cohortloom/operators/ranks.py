@@ -12,13 +12,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.session import shuffle_width
 
 # Bounds the cut points on the driver and the bucket rows of each group.
 MAX_BUCKETS = 1000
+MAX_SKETCH_GROUPS = 200
 _MISSING = -1
 
 
@@ -29,18 +30,37 @@ def bucket_count(df: DataFrame) -> int:
 def value_cuts(
     df: DataFrame,
     columns: Sequence[str],
-    extra: Mapping[str, Column] | None = None,
+    span: str | None = None,
     buckets: int | None = None,
-) -> tuple[dict[str, list[float]], Row]:
-    """Quantile cut points of double columns, and ``extra`` aggregates, from one job.
+) -> tuple[dict[str, list[float]], tuple | None]:
+    """Quantile cut points of double columns, and the least and greatest ``span``, from one job.
 
-    One row comes back: ``buckets - 1`` numbers per column.
+    Sketches of all tasks in one task would be too much, so groups of tasks are
+    merged first and the quantiles of their quantiles are taken. One row comes
+    back: ``buckets - 1`` numbers per column.
     """
     n = buckets or bucket_count(df)
-    shares = [i / n for i in range(1, n)]
-    cuts = [F.percentile_approx(c, shares, max(1000, 4 * n)).alias(f"_cuts_{i}") for i, c in enumerate(columns)]
-    row = df.agg(*cuts, *(column.alias(name) for name, column in (extra or {}).items())).first()
-    return {c: sorted(set(row[f"_cuts_{i}"] or [])) for i, c in enumerate(columns)}, row
+    shares = ", ".join(f"{i / n}D" for i in range(1, n))
+    accuracy = max(1000, 4 * n)
+    names = {c: f"_cuts_{i}" for i, c in enumerate(columns)}
+    edge = span or "CAST(NULL AS INT)"
+    group = F.spark_partition_id() % min(shuffle_width(df.sparkSession), MAX_SKETCH_GROUPS)
+    parts = df.groupBy(group.alias("_group")).agg(
+        F.expr(f"min({edge}) AS _first"),
+        F.expr(f"max({edge}) AS _last"),
+        *(F.expr(f"percentile_approx(`{c}`, array({shares}), {accuracy}) AS {name}") for c, name in names.items()),
+    )
+    points = parts.withColumn("_at", F.explode(F.sequence(F.lit(1), F.lit(n - 1))))
+    row = points.agg(
+        F.expr("min(_first) AS first"),
+        F.expr("max(_last) AS last"),
+        *(
+            F.expr(f"percentile_approx(element_at({name}, _at), array({shares}), {accuracy}) AS {name}")
+            for name in names.values()
+        ),
+    ).first()
+    edges = None if row["first"] is None else (row["first"], row["last"])
+    return {c: sorted(set(row[name] or [])) for c, name in names.items()}, edges
 
 
 def with_buckets(df: DataFrame, cuts: Mapping[str, Sequence[float]]) -> DataFrame:
