@@ -38,6 +38,10 @@ def auc_by_group(df: DataFrame, group: Sequence[Column], score: str, label: str)
     buckets count once for every positive, which the small table adds.
     """
     counts, keys = score_counts(df, group, score, label)
+    return _auc(counts, keys), keys
+
+
+def _auc(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     negative = F.col("n") - F.col("pos")
     lower = F.sum(negative).over(inside_bucket(keys, "score")) - negative
     per_bucket = (
@@ -62,16 +66,13 @@ def auc_by_group(df: DataFrame, group: Sequence[Column], score: str, label: str)
         )
     )
     possible = F.col("positive_count").cast("double") * (F.col("population") - F.col("positive_count"))
-    return (
-        per_group.select(
-            *keys,
-            F.when(possible > 0, F.col("pairs") / possible).alias("auc"),
-            "population",
-            "positive_count",
-            (F.col("positive_count") / F.col("population")).alias("positive_rate"),
-            (F.col("score_sum") / F.col("population")).alias("prediction_mean"),
-        ),
-        keys,
+    return per_group.select(
+        *keys,
+        F.when(possible > 0, F.col("pairs") / possible).alias("auc"),
+        "population",
+        "positive_count",
+        (F.col("positive_count") / F.col("population")).alias("positive_rate"),
+        (F.col("score_sum") / F.col("population")).alias("prediction_mean"),
     )
 
 
@@ -114,6 +115,10 @@ def model_auc(df: DataFrame, part: str, score: str, label: str) -> DataFrame:
 def best_f1(df: DataFrame, group: Sequence[Column], score: str, label: str) -> tuple[DataFrame, list[str]]:
     """Confusion counts per group at the score threshold with the best F1 (the highest, if tied)."""
     counts, keys = score_counts(df, group, score, label)
+    return _best_f1(counts, keys), keys
+
+
+def _best_f1(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     ranked = running_totals(counts, keys, "score", ["pos", "n"])
     tp = F.col("pos_all") - F.col("pos_upto") + F.col("pos")
     called = F.col("n_all") - F.col("n_upto") + F.col("n")
@@ -130,15 +135,12 @@ def best_f1(df: DataFrame, group: Sequence[Column], score: str, label: str) -> t
         ).alias("best"),
     )
     best = choice.groupBy(*keys).agg(F.max("best").alias("best")).select(*keys, "best.*")
-    return (
-        best.withColumns(
-            {
-                "precision": F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")),
-                "recall": F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")),
-                "accuracy": (F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")),
-            }
-        ),
-        keys,
+    return best.withColumns(
+        {
+            "precision": F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")),
+            "recall": F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")),
+            "accuracy": (F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")),
+        }
     )
 
 
@@ -148,9 +150,8 @@ def confusion_best_f1(df: DataFrame, score: str, label: str) -> DataFrame:
 
 def fold_metrics(df: DataFrame, fold: str, score: str, label: str) -> DataFrame:
     """AUC, and the best-F1 metrics, of each fold in long form: ``fold, metric, value``."""
-    areas, keys = auc_by_group(df, [F.col(fold)], score, label)
-    chosen, _ = best_f1(df, [F.col(fold)], score, label)
-    table = areas.select(*keys, "auc").join(chosen, keys)
+    counts, keys = score_counts(df, [F.col(fold)], score, label)
+    table = _auc(counts, keys).select(*keys, "auc").join(_best_f1(counts, keys), keys)
     return table.select(
         F.col(keys[0]).alias("fold"),
         F.inline(

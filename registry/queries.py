@@ -100,14 +100,14 @@ def prepared_events(spark: SparkSession, folder: str) -> DataFrame:
 def rounded(df: DataFrame) -> DataFrame:
     """Cut averages and deviations to the decimals that do not depend on summation order."""
 
-    def cut(name: str):
+    def cut(name: str) -> str:
         if name.startswith("stddev_"):
-            return F.round(name, DEVIATION_DIGITS).alias(name)
+            return f"round({name}, {DEVIATION_DIGITS}) AS {name}"
         if name.startswith("avg_") and "scaled" in name:
-            return F.round(name, AVERAGE_DIGITS).alias(name)
-        return F.col(name)
+            return f"round({name}, {AVERAGE_DIGITS}) AS {name}"
+        return name
 
-    return df.select(*(cut(c) for c in df.columns))
+    return df.selectExpr(*(cut(c) for c in df.columns))
 
 
 def event_features(columns: dict[str, list[str]], windows: tuple[str, ...] = WINDOWS):
