@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.spec import Condition, Feature, FeatureSpec, window_millis
+from cohortloom.spec import Condition, Feature, FeatureSpec, is_fixed_window, window_millis
 
 CATALOGUE_SCHEMA = T.StructType(
     [
@@ -128,8 +128,14 @@ def lookback_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     return wide.selectExpr(*(f"`{e}`" for e in spec.entities), *final)
 
 
-def wide_features(df: DataFrame, spec: FeatureSpec, nested: bool = True) -> DataFrame:
-    """All features of the spec per entity; ``nested`` says the windows share their end."""
+def wide_features(df: DataFrame, spec: FeatureSpec, nested: bool | None = None) -> DataFrame:
+    """All features of the spec per entity.
+
+    ``nested`` says that the windows share their end, as look-backs do; unset,
+    windows that are all named as look-backs of a fixed length are taken to.
+    """
+    if nested is None:
+        nested = all(is_fixed_window(w) for w in spec.windows)
     return lookback_features(df, spec) if nested else conditional_features(df, spec)
 
 

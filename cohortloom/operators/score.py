@@ -48,6 +48,13 @@ def batch_predict(model: PipelineModel | str, df: DataFrame, output_path: str |
     return df.sparkSession.read.schema(scored.schema).option("header", True).csv(output_path)
 
 
+def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Class and class probabilities of each row: ``predict, p0, p1``."""
+    check_signature(df, input_columns(model))
+    one = F.col("probability")
+    return score(model, df).select(F.col("prediction").alias("predict"), (1 - one).alias("p0"), one.alias("p1"))
+
+
 def predict_proba(scored: DataFrame, name: str = "probability") -> DataFrame:
     """Add the probability of class 1: column ``p1``, else a probability vector, else the first column."""
     vectors = [f.name for f in scored.schema.fields if isinstance(f.dataType, VectorUDT) and "probability" in f.name]

@@ -14,6 +14,7 @@ CONDITION_SLOTS = 3
 MAX_NAME_LENGTH = 63
 
 _WINDOW_NAME = re.compile(r"l(\d+)([hdwmy])")
+_HOURS = {"h": 1, "d": 24, "w": 168}
 _WINDOW_UNITS = {"h": "hour", "d": "day", "w": "week", "m": "month", "y": "year"}
 
 
@@ -199,13 +200,17 @@ class FeatureSpec:
         }
 
 
+def is_fixed_window(name: str) -> bool:
+    match = _WINDOW_NAME.fullmatch(name.lower())
+    return match is not None and match[2] in _HOURS
+
+
 def window_millis(name: str) -> int:
     """Length of a fixed look-back window; months and years have no fixed length."""
-    match = _WINDOW_NAME.fullmatch(name.lower())
-    hours = {"h": 1, "d": 24, "w": 168}
-    if not match or match[2] not in hours:
+    if not is_fixed_window(name):
         raise ValueError(f"window {name!r} has no fixed length, use l<N>h, l<N>d or l<N>w")
-    return int(match[1]) * hours[match[2]] * 3_600_000
+    match = _WINDOW_NAME.fullmatch(name.lower())
+    return int(match[1]) * _HOURS[match[2]] * 3_600_000
 
 
 def describe_window(name: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions import columns as C
@@ -330,8 +330,6 @@ def top_n_features(spark, folder):
 
 
 def final_features(spark, folder):
-    from pyspark.sql import Window
-
     order = Window.orderBy(F.col("importance").desc(), "feature")  # one row per feature name
     ranked = separation(spark, folder).select("feature", F.row_number().over(order).alias("rank"))
     shifting = drift.shifting_features(ks_of_lineitem(spark, folder), LOW_THRESHOLD)

@@ -8,7 +8,7 @@ from test_spec import login_config
 
 from cohortloom import FeatureSpec
 from cohortloom.functions import columns as C
-from cohortloom.operators.features import conditional_features, lookback_features
+from cohortloom.operators.features import conditional_features, lookback_features, wide_features
 from cohortloom.sources.readers import lookback_range
 
 DAY = 86_400_000
@@ -97,6 +97,17 @@ def test_both_forms_have_the_same_columns_and_types(spark, rows):
     ]
 
 
+def test_windows_that_are_no_lookbacks_use_the_plain_form(spark):
+    rows = [(1, 1, "ios", AS_OF_MS), (1, 2, "ios", AS_OF_MS - DAY), (2, 3, "web", AS_OF_MS - 3 * DAY)]
+    df = prepared(spark, rows).selectExpr("*", "login_id = 2 AS weekend", "login_id > 1 AS month_end")
+    config = login_config(
+        col_agg_dict={"login_id": {"conditions": [False], "aggregations": ["COUNT"]}},
+        time_cond_dict=["weekend", "month_end"],
+    )
+    table = wide_features(df, FeatureSpec.from_dict(config)).drop("partition_date").orderBy("bnc_uid")
+    assert [tuple(r) for r in table.collect()] == [(1, 1, 1), (2, 0, 1)]
+
+
 def test_window_ends_are_inclusive(spark):
     edges = [(1, 1, "ios", AS_OF_MS), (1, 2, "ios", AS_OF_MS - DAY), (1, 3, "ios", AS_OF_MS - DAY - 1)]
     row = lookback_features(prepared(spark, edges), spec()).first()
