@@ -13,6 +13,9 @@ NO_CONDITION = "TRUE"
 CONDITION_SLOTS = 3
 MAX_NAME_LENGTH = 63
 
+# Fixed value: source column to entity, where a spec gives no mapping.
+DEFAULT_ENTITY_MAP = {"uid": "bnc_uid"}
+
 _WINDOW_NAME = re.compile(r"l(\d+)([hdwmy])")
 _HOURS = {"h": 1, "d": 24, "w": 168}
 _WINDOW_UNITS = {"h": "hour", "d": "day", "w": "week", "m": "month", "y": "year"}
@@ -124,7 +127,7 @@ class FeatureSpec:
     last_updated_by: str = ""
     approved_by: str = ""
     status: str = "CREATED"
-    entity_map: Mapping[str, str] = field(default_factory=lambda: {"uid": "bnc_uid"})
+    entity_map: Mapping[str, str] = field(default_factory=lambda: dict(DEFAULT_ENTITY_MAP))
 
     @classmethod
     def from_dict(cls, config: Mapping[str, Any]) -> FeatureSpec:
@@ -153,7 +156,7 @@ class FeatureSpec:
             last_updated_by=config.get("last_updated_by", ""),
             approved_by=config.get("approved_by", ""),
             status=config.get("status", "CREATED"),
-            entity_map=dict(config.get("source_input_mapping", {"uid": "bnc_uid"})),
+            entity_map=dict(config.get("source_input_mapping", DEFAULT_ENTITY_MAP)),
         )
         spec.check_names()
         return spec

@@ -170,7 +170,7 @@ SPLIT_ORDERS = """
 
 ORACLES = {
     "scan_parquet": "SELECT * FROM orders",
-    "scan_table": "SELECT user_id AS bnc_uid, ts AS login_ts, event_id AS login_id FROM events",
+    "scan_table": "SELECT user_id AS customer_id, ts AS login_ts, event_id AS login_id FROM events",
     "scan_lookback": """
         SELECT event_id, user_id, ts, strftime(ts, '%Y%m%d') AS create_date FROM events
         WHERE strftime(ts, '%Y%m%d') >= '20240107' AND strftime(ts, '%Y%m%d') < '20240121'""",
@@ -179,7 +179,7 @@ ORACLES = {
     "sink_by_date": feature_sql(
         {"event_id": ["COUNT"], "value": ["MIN", "MAX"]}, SHORT_WINDOWS, ", DATE '2024-01-31' AS etl_date"
     ),
-    "filter_conjunction": "SELECT * FROM events WHERE event_type = 'error' AND user_id = 8",
+    "filter_conjunction": "SELECT * FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_linenumber = 1",
     "flag_case": """
         SELECT event_id, NULLIF(event_type, 'view') AS kind,
                CASE WHEN event_type = 'error' THEN TRUE ELSE FALSE END AS is_error FROM events""",

@@ -127,7 +127,7 @@ def scan_parquet(spark, folder):
 
 def scan_table(spark, folder):
     table(spark, folder, "events").createOrReplaceTempView("login_events")
-    return readers.scan_table(spark, "login_events", {"bnc_uid": "user_id", "login_ts": "ts", "login_id": "event_id"})
+    return readers.scan_table(spark, "login_events", {"customer_id": "user_id", "login_ts": "ts", "login_id": "event_id"})
 
 
 def scan_lookback(spark, folder):
@@ -160,7 +160,8 @@ def sink_by_date(spark, folder):
 
 
 def filter_conjunction(spark, folder):
-    return readers.filter_equal(table(spark, folder, "events"), {"event_type": "error", "user_id": 8})
+    flags = {"l_returnflag": "R", "l_linestatus": "F", "l_linenumber": 1}
+    return readers.filter_equal(table(spark, folder, "lineitem"), flags)
 
 
 def flag_case(spark, folder):

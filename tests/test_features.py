@@ -18,7 +18,7 @@ AS_OF_MS = 1_706_659_200_000  # 2024-01-31 UTC
 def prepared(spark, rows):
     from pyspark.sql import functions as F
 
-    df = spark.createDataFrame(rows, "bnc_uid long, login_id long, device_type string, login_unix_ts long")
+    df = spark.createDataFrame(rows, "customer_id long, login_id long, device_type string, login_unix_ts long")
     time, as_of = F.col("login_unix_ts"), C.as_of_millis("2024-01-31")
     return df.withColumns(
         {
@@ -73,7 +73,7 @@ def brute_force(rows, uid, condition, column, aggregation, days):
 
 @pytest.mark.parametrize("build", [conditional_features, lookback_features])
 def test_features_match_brute_force(spark, rows, build):
-    table = {r["bnc_uid"]: r for r in build(prepared(spark, rows), spec()).collect()}
+    table = {r["customer_id"]: r for r in build(prepared(spark, rows), spec()).collect()}
     assert set(table) == {r[0] for r in rows}
     for feature in spec().features():
         if feature.column.startswith("scaled"):
@@ -104,7 +104,7 @@ def test_windows_that_are_no_lookbacks_use_the_plain_form(spark):
         col_agg_dict={"login_id": {"conditions": [False], "aggregations": ["COUNT"]}},
         time_cond_dict=["weekend", "month_end"],
     )
-    table = wide_features(df, FeatureSpec.from_dict(config)).drop("partition_date").orderBy("bnc_uid")
+    table = wide_features(df, FeatureSpec.from_dict(config)).drop("partition_date").orderBy("customer_id")
     assert [tuple(r) for r in table.collect()] == [(1, 1, 1), (2, 0, 1)]
 
 

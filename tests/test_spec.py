@@ -2,7 +2,8 @@ import pytest
 
 from cohortloom import FeatureSpec, PipelineSpec
 from cohortloom.operators.features import CATALOGUE_SCHEMA, catalogue
-from cohortloom.spec import describe_window, window_millis
+from cohortloom.sources.writers import write_json
+from cohortloom.spec import DEFAULT_ENTITY_MAP, describe_window, window_millis
 
 DAYS = [1, 3, 7, 14, 30, 60, 90]
 
@@ -10,11 +11,11 @@ DAYS = [1, 3, 7, 14, 30, 60, 90]
 def login_config(**changes):
     on_first = [True, False, False, True]
     config = {
-        "feature_category": "pc_login_hist_l90d_v1",
+        "feature_category": "login_hist_v1",
         "feature_type": "batch",
         "created_by": "someone",
         "team_name": "team",
-        "entities": ["bnc_uid", "partition_date"],
+        "entities": ["customer_id", "partition_date"],
         "col_agg_dict": {
             "login_id": {"conditions": on_first, "aggregations": ["COUNT"]},
             "is_ios": {"conditions": on_first, "aggregations": ["MIN", "MAX", "AVG"]},
@@ -94,14 +95,16 @@ def test_windows():
         window_millis("l1m")
 
 
-def test_catalogue(spark):
+def test_catalogue(spark, tmp_path):
     spec = FeatureSpec.from_dict(login_config())
     df = catalogue(spark, spec, created_ms=5)
     assert df.schema == CATALOGUE_SCHEMA and df.count() == 189
-    row = df.filter("feature_name = 'pc_login_hist_l90d_v1:count_is_ios_login_id_l7d'").first()
+    row = df.filter("feature_name = 'login_hist_v1:count_is_ios_login_id_l7d'").first()
     assert row["description"] == "count login_id where is_ios last 7 days"
-    assert row["entities_mapping"] == {"uid": "bnc_uid"} and row["status"] == "CREATED"
+    assert row["entities_mapping"] == DEFAULT_ENTITY_MAP and row["status"] == "CREATED"
     assert row["feature_data_type"] == "float" and row["created_time"] == row["updated_time"] == 5
+    path = write_json(df, str(tmp_path / "catalogue"))
+    assert sorted(spark.read.schema(CATALOGUE_SCHEMA).json(path).collect()) == sorted(df.collect())
 
 
 def test_yaml_files(tmp_path):
