@@ -127,7 +127,8 @@ def scan_parquet(spark, folder):
 
 def scan_table(spark, folder):
     table(spark, folder, "events").createOrReplaceTempView("login_events")
-    return readers.scan_table(spark, "login_events", {"customer_id": "user_id", "login_ts": "ts", "login_id": "event_id"})
+    renames = {"customer_id": "user_id", "login_ts": "ts", "login_id": "event_id"}
+    return readers.scan_table(spark, "login_events", renames)
 
 
 def scan_lookback(spark, folder):
