@@ -7,6 +7,9 @@ import pytest
 from compare import difference, duckdb_over
 from conftest import TESTDATA
 
+from registry.oracles import ORACLES
+from registry.queries import QUERIES
+
 ENTRY = Path(__file__).resolve().parents[1] / "__spark_entry__.py"
 SMALL = str(TESTDATA / "sf0.001")
 
@@ -25,13 +28,13 @@ def connection():
     return duckdb_over(SMALL)
 
 
-@pytest.mark.parametrize("name", list(entry.oracle_sql()))
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_query_matches_sql(spark, connection, name):
     assert difference(entry.queries()[name](spark, SMALL), connection, entry.oracle_sql()[name]) is None
 
 
 def test_only_models_lack_sql():
-    without = set(entry.queries()) - set(entry.oracle_sql())
+    without = set(QUERIES) - set(ORACLES)
     assert without == {
         "feature_importance",
         "train_leaderboard",
