@@ -1,6 +1,133 @@
 """DuckDB SQL for the corpus queries that SQL can express on whole tables."""
 
+LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
 ORACLES = {
+    "op1_decontaminate": rf"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM documents
+),
+items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM benchmark
+),
+sized AS (SELECT item_id, ws, least(len(ws), 10) AS size FROM items WHERE len(ws) > 0),
+item_places AS (SELECT item_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM sized),
+item_windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(ws[i : i + size - 1], ' ') AS run FROM item_places
+),
+doc_places AS (
+    SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
+    FROM docs, (SELECT DISTINCT size FROM sized) AS sizes WHERE len(ws) >= size
+),
+doc_windows AS (SELECT doc_id, size, i, array_to_string(ws[i : i + size - 1], ' ') AS run FROM doc_places),
+hits AS (
+    SELECT d.doc_id, d.i, d.size, w.item_id FROM doc_windows AS d JOIN item_windows AS w USING (size, run)
+),
+hit_places AS (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS place FROM hits),
+hit_words AS (SELECT doc_id, count(*) AS n_hit FROM hit_places GROUP BY doc_id),
+hit_items AS (
+    SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT
+    docs.doc_id,
+    CAST(len(ws) AS BIGINT) AS n_words,
+    coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items,
+    coalesce(digest, sha256('')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+""",
+    "op4_lines": rf"""
+WITH lines AS (
+    SELECT
+        doc_id,
+        unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS unit
+    FROM documents
+),
+placed AS (
+    SELECT
+        doc_id,
+        unit,
+        length(line) AS n,
+        coalesce(sum(length(line) + 1) OVER (
+            PARTITION BY doc_id ORDER BY unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+        ), 0) AS span_start,
+        trim(regexp_replace(translate(line, {LOWER}), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
+    FROM lines
+),
+counted AS (SELECT *, len(string_split(norm, ' ')) AS n_words FROM placed WHERE norm <> ''),
+ranked AS (
+    SELECT
+        *,
+        row_number() OVER same AS place,
+        first_value(doc_id) OVER same AS keep_id,
+        first_value(unit) OVER same AS keep_unit
+    FROM counted WHERE n_words >= 5
+    WINDOW same AS (PARTITION BY norm ORDER BY doc_id, unit)
+)
+SELECT
+    doc_id,
+    CAST(unit AS INTEGER) AS unit,
+    CAST(span_start AS BIGINT) AS span_start,
+    CAST(span_start + n AS BIGINT) AS span_end,
+    CAST(n_words AS INTEGER) AS n_words,
+    md5(norm) AS digest,
+    keep_id,
+    CAST(keep_unit AS INTEGER) AS keep_unit
+FROM ranked WHERE place > 1
+""",
+    "op9_chunks": r"""
+WITH lines AS (
+    SELECT
+        doc_id,
+        unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS k
+    FROM documents
+),
+hashed AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM lines),
+rolled AS (
+    SELECT
+        *,
+        (h + 31 * lag(h, 1, 0) OVER doc + 961 * lag(h, 2, 0) OVER doc) % 1000003 % 4 = 0 AS ends,
+        coalesce(sum(length(line) + 1) OVER (doc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS began
+    FROM hashed
+    WINDOW doc AS (PARTITION BY doc_id ORDER BY k)
+),
+numbered AS (
+    SELECT *, coalesce(sum(CAST(ends AS INTEGER)) OVER (
+        PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+    ), 0) AS chunk
+    FROM rolled
+),
+chunks AS (
+    SELECT
+        doc_id, chunk, min(k) AS line, count(*) AS n_lines, min(began) AS span_start,
+        string_agg(line, chr(10) ORDER BY k) AS piece
+    FROM numbered GROUP BY doc_id, chunk HAVING count(*) >= 2
+),
+ranked AS (
+    SELECT
+        *,
+        row_number() OVER same AS place,
+        first_value(doc_id) OVER same AS keep_id,
+        first_value(chunk) OVER same AS keep_chunk
+    FROM chunks WINDOW same AS (PARTITION BY piece ORDER BY doc_id, chunk)
+)
+SELECT
+    doc_id,
+    CAST(chunk AS INTEGER) AS chunk,
+    CAST(line AS INTEGER) AS line,
+    CAST(n_lines AS INTEGER) AS n_lines,
+    CAST(span_start AS BIGINT) AS span_start,
+    CAST(span_start + length(piece) AS BIGINT) AS span_end,
+    keep_id,
+    CAST(keep_chunk AS INTEGER) AS keep_chunk
+FROM ranked WHERE place > 1
+""",
     "op10_exact": r"""
 WITH d AS (
     SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents

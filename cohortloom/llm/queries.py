@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import exact, simhash
+from cohortloom.llm import chunks, decontaminate, exact, lines, simhash
 from cohortloom.session import use_utc
 
 
@@ -13,18 +13,37 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontaminate(spark, folder):
+    rows = decontaminate.contaminated_words(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return rows.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+def op4_lines(spark, folder):
+    rows = lines.repeated_units(table(spark, folder, "documents"))
+    return rows.drop("row").withColumnsRenamed({"start": "span_start", "end": "span_end"})
+
+
 def op8_simhash(spark, folder):
     groups = simhash.near_groups(table(spark, folder, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op9_chunks(spark, folder):
+    rows = chunks.repeated_chunks(table(spark, folder, "documents"))
+    return rows.drop("row").withColumnsRenamed({"start": "span_start", "end": "span_end"})
+
+
 def op10_exact(spark, folder):
     docs = table(spark, folder, "documents")
     return exact.exact_groups(docs, extra={"text_sha256": F.sha2("_norm", 256)})
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op4_lines": op4_lines,
     "op8_simhash": op8_simhash,
+    "op9_chunks": op9_chunks,
     "op10_exact": op10_exact,
 }
