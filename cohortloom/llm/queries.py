@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import chunks, decontaminate, exact, lines, simhash
+from cohortloom.llm import chunks, decontaminate, exact, lines, packing, simhash
 from cohortloom.session import use_utc
 
 
@@ -24,6 +24,10 @@ def op4_lines(spark, folder):
     return rows.drop("row").withColumnsRenamed({"start": "span_start", "end": "span_end"})
 
 
+def op7_packing(spark, folder):
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def op8_simhash(spark, folder):
     groups = simhash.near_groups(table(spark, folder, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -43,6 +47,7 @@ def op10_exact(spark, folder):
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op4_lines": op4_lines,
+    "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
     "op9_chunks": op9_chunks,
     "op10_exact": op10_exact,
