@@ -39,6 +39,24 @@ SELECT
     coalesce(digest, sha256('')) AS items_sha256,
     coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+""",
+    "op2_chat": r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+sized AS (
+    SELECT *, length(regexp_replace(text, '(<|\[)(\\*)(/?s>|</?SYS>>|/?INST\])', '\1\\\2\3', 'g')) AS n FROM rows
+)
+SELECT
+    conv_id,
+    count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(3 + length(role) + 1 + n + 4) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
 """,
     "op4_lines": rf"""
 WITH lines AS (
