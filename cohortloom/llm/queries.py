@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import chat, chunks, decontaminate, exact, lines, packing, simhash, urls
+from cohortloom.llm import chat, chunks, decontaminate, exact, lines, packing, quality, simhash, suffix, urls
 from cohortloom.session import use_utc
 
 
@@ -53,11 +53,20 @@ def op2_chat(spark, folder):
     )
 
 
+def op3_suffix(spark, folder):
+    return suffix.suffix_dedup(table(spark, folder, "documents"))
+
+
 def op4_lines(spark, folder):
     rows = lines.repeated_units(table(spark, folder, "documents"))
     return rows.drop("row").withColumnsRenamed({"start": "span_start", "end": "span_end"})
 
 
+def op5_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    return quality.quality_scores(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
 def op6_urls(spark, folder):
     return urls.judge(table(spark, folder, "pages"), URL_RULES)
 
@@ -85,7 +94,9 @@ def op10_exact(spark, folder):
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_chat": op2_chat,
+    "op3_suffix": op3_suffix,
     "op4_lines": op4_lines,
+    "op5_quality": op5_quality,
     "op6_urls": op6_urls,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
