@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.spec import window_millis
+from cohortloom.spec import window_millis, window_months
 
 # Milliseconds per day, and 1990-01-01 UTC, the origin of scaled times.
 DAY_MILLIS = 86_400_000
@@ -43,9 +43,23 @@ def as_of_millis(as_of: str | dt.date | Column, zone: str = "UTC") -> Column:
     return F.unix_millis(F.to_utc_timestamp(as_date(as_of).cast("timestamp"), zone))
 
 
-def window_flags(time_ms: Column, as_of_ms: Column, windows: Iterable[str]) -> dict[str, Column]:
-    """One boolean per look-back window, both ends inclusive."""
-    return {w: time_ms.between(as_of_ms - F.lit(window_millis(w)), as_of_ms) for w in windows}
+def window_flags(
+    time_ms: Column, as_of_ms: Column, windows: Iterable[str], zone: str = "UTC"
+) -> dict[str, Column]:
+    """One boolean per look-back window, both ends inclusive.
+
+    Months and years go back by the calendar of ``zone``, to the last day of a
+    month that is too short.
+    """
+
+    def start(window: str) -> Column:
+        months = window_months(window)
+        if months is None:
+            return as_of_ms - F.lit(window_millis(window))
+        local = F.from_utc_timestamp(F.timestamp_millis(as_of_ms), zone)
+        return F.unix_millis(F.to_utc_timestamp(local - F.make_ym_interval(F.lit(0), F.lit(months)), zone))
+
+    return {w: time_ms.between(start(w), as_of_ms) for w in windows}
 
 
 def scaled_time(time_ms: Column, as_of_ms: Column) -> Column:

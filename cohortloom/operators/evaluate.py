@@ -13,13 +13,22 @@ from cohortloom.operators.ranks import buckets_below, inside_bucket, running_tot
 FOLD_METRICS = ("auc", "accuracy", "precision", "recall", "f1")
 
 
+def given(value: Column, name: str) -> Column:
+    """The value; a missing one (null or NaN) fails the job, as no metric has a meaning for it."""
+    missing = value.isNull() | F.isnan(value.cast("double"))
+    return F.when(missing, F.raise_error(F.lit(f"a {name} is missing")).cast("double")).otherwise(value)
+
+
 def score_counts(df: DataFrame, group: Sequence[Column], score: str, label: str) -> tuple[DataFrame, list[str]]:
-    """Positives and rows per (group, bucket, score), combined on the map side."""
+    """Positives and rows per (group, bucket, score), combined on the map side.
+
+    Group keys are structs of one field ``v``: never null, so that joins on them keep a null group.
+    """
     keys = [f"g{i}" for i in range(len(group))]
     rows = df.select(
-        *(column.alias(key) for key, column in zip(keys, group, strict=True)),
-        F.col(score).cast("double").alias("score"),
-        F.col(label).cast("int").alias("label"),
+        *(F.struct(column.alias("v")).alias(key) for key, column in zip(keys, group, strict=True)),
+        given(F.col(score).cast("double"), "score").alias("score"),
+        given(F.col(label).cast("int"), "label").cast("int").alias("label"),
     )
     cuts, _ = value_cuts(rows, ["score"])
     counts = (
@@ -30,6 +39,11 @@ def score_counts(df: DataFrame, group: Sequence[Column], score: str, label: str)
     return counts, keys
 
 
+def opened(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Group keys as they were given."""
+    return table.withColumns({key: F.col(f"{key}.v") for key in keys}) if keys else table
+
+
 def auc_by_group(df: DataFrame, group: Sequence[Column], score: str, label: str) -> tuple[DataFrame, list[str]]:
     """ROC AUC and class statistics per group; AUC is null where a group has one class.
 
@@ -38,14 +52,14 @@ def auc_by_group(df: DataFrame, group: Sequence[Column], score: str, label: str)
     buckets count once for every positive, which the small table adds.
     """
     counts, keys = score_counts(df, group, score, label)
-    return _auc(counts, keys), keys
+    return opened(_auc(counts, keys), keys), keys
 
 
 def _auc(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     negative = F.col("n") - F.col("pos")
     lower = F.sum(negative).over(inside_bucket(keys, "score")) - negative
     per_bucket = (
-        counts.withColumn("pairs", F.col("pos") * (lower + negative / 2))
+        counts.withColumn("pairs", F.col("pos").cast("double") * (lower + negative / 2))
         .groupBy(*keys, "bucket")
         .agg(
             F.sum("pairs").alias("pairs"),
@@ -56,7 +70,7 @@ def _auc(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     below = F.coalesce(F.sum(negative).over(buckets_below(keys)), F.lit(0))
     per_group = (
-        per_bucket.withColumn("pairs", F.col("pairs") + F.col("pos") * below)
+        per_bucket.withColumn("pairs", F.col("pairs") + F.col("pos").cast("double") * below)
         .groupBy(*keys)
         .agg(
             F.sum("pairs").alias("pairs"),
@@ -77,7 +91,8 @@ def _auc(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def monthly_stats(df: DataFrame, date: str, score: str, label: str) -> DataFrame:
-    positive = F.col(label).cast("int")
+    positive = given(F.col(label).cast("int"), "label").cast("int")
+    value = given(F.col(score).cast("double"), "score")
     return (
         df.filter(F.col(date).isNotNull())
         .groupBy(month_start(date).alias("month"))
@@ -85,7 +100,7 @@ def monthly_stats(df: DataFrame, date: str, score: str, label: str) -> DataFrame
             F.count(F.lit(1)).alias("population"),
             F.sum(positive).alias("positive_count"),
             F.avg(positive).alias("positive_rate"),
-            F.avg(score).alias("prediction_mean"),
+            F.avg(value).alias("prediction_mean"),
         )
         .withColumn("month", month_key("month"))
         .orderBy("month")
@@ -115,7 +130,7 @@ def model_auc(df: DataFrame, part: str, score: str, label: str) -> DataFrame:
 def best_f1(df: DataFrame, group: Sequence[Column], score: str, label: str) -> tuple[DataFrame, list[str]]:
     """Confusion counts per group at the score threshold with the best F1 (the highest, if tied)."""
     counts, keys = score_counts(df, group, score, label)
-    return _best_f1(counts, keys), keys
+    return opened(_best_f1(counts, keys), keys), keys
 
 
 def _best_f1(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -152,7 +167,7 @@ def fold_metrics(df: DataFrame, fold: str, score: str, label: str) -> DataFrame:
     """AUC, and the best-F1 metrics, of each fold in long form: ``fold, metric, value``."""
     counts, keys = score_counts(df, [F.col(fold)], score, label)
     table = _auc(counts, keys).select(*keys, "auc").join(_best_f1(counts, keys), keys)
-    return table.select(
+    return opened(table, keys).select(
         F.col(keys[0]).alias("fold"),
         F.inline(
             F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in FOLD_METRICS))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.spec import Condition, Feature, FeatureSpec, is_fixed_window, window_millis
+from cohortloom.spec import Condition, Feature, FeatureSpec, is_fixed_window, window_millis, window_months
 
 CATALOGUE_SCHEMA = T.StructType(
     [
@@ -84,9 +85,14 @@ def lookback_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """
     check_columns(df, spec)
     values = _Values(df)
-    windows = sorted(spec.windows, key=window_millis)
+    windows = sorted(spec.windows, key=_length)
     reach = {w: i for i, w in enumerate(windows)}
-    ring = " ".join(f"WHEN `{w}` THEN {i}" for w, i in reach.items())
+    # A row of a window that is not in the next longer one would be counted there: the job fails.
+    nested = " ".join(
+        f"WHEN `{a}` AND NOT coalesce(`{b}`, FALSE) THEN CAST(raise_error('a row is in window {a} but not in {b}') AS INT)"
+        for a, b in pairwise(windows)
+    )
+    ring = nested + " " + " ".join(f"WHEN `{w}` THEN {i}" for w, i in reach.items())
     features = spec.features()
 
     states: dict[str, str] = {}
@@ -132,10 +138,11 @@ def wide_features(df: DataFrame, spec: FeatureSpec, nested: bool | None = None)
     """All features of the spec per entity.
 
     ``nested`` says that the windows share their end, as look-backs do; unset,
-    windows that are all named as look-backs of a fixed length are taken to.
+    windows that are all named as look-backs are taken to. The nested form checks
+    every row and fails where the windows do not nest.
     """
     if nested is None:
-        nested = all(is_fixed_window(w) for w in spec.windows)
+        nested = all(is_fixed_window(w) or window_months(w) is not None for w in spec.windows)
     return lookback_features(df, spec) if nested else conditional_features(df, spec)
 
 
@@ -179,18 +186,28 @@ def _aggregate(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, str]
     return df.groupBy(*keys).agg(*(F.expr(f"{sql} AS `{name}`") for name, sql in aggregates.items()))
 
 
+def _length(window: str) -> int:
+    """Sort key of look-backs: hours to weeks by length, months and years by their longest."""
+    months = window_months(window)
+    return window_millis(window) if months is None else months * 31 * 86_400_000
+
+
 def _all_of(conditions: tuple[Condition, ...]) -> str:
     return " AND ".join(f"({c.sql})" for c in conditions) or "TRUE"
 
 
 class _Values:
-    """Column references; averages take numbers, so a boolean counts as 0 or 1 there."""
+    """Column references; averages take doubles, so integers cannot overflow and a boolean counts as 0 or 1."""
 
     def __init__(self, df: DataFrame):
-        self._boolean = {f.name for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)}
+        types = {f.name: f.dataType for f in df.schema.fields}
+        self._boolean = {n for n, t in types.items() if isinstance(t, T.BooleanType)}
+        self._integer = {n for n, t in types.items() if isinstance(t, T.IntegralType)}
 
     def number(self, column: str) -> str:
-        return f"CAST(CAST(`{column}` AS INT) AS DOUBLE)" if column in self._boolean else f"`{column}`"
+        if column in self._boolean:
+            return f"CAST(CAST(`{column}` AS INT) AS DOUBLE)"
+        return f"CAST(`{column}` AS DOUBLE)" if column in self._integer else f"`{column}`"
 
     def of(self, feature: Feature) -> str:
         return self.number(feature.column) if feature.aggregation in ("AVG", "STDDEV") else f"`{feature.column}`"

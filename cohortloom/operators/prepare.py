@@ -15,6 +15,8 @@ from cohortloom.spec import PipelineSpec
 # Fixed value: stands for a missing value.
 SENTINEL = -999999
 
+_FLOATING = (T.FloatType, T.DoubleType)
+_DECIMAL_DIGITS = 38
 _INTEGER_RANGES = (("tinyint", 2**7), ("smallint", 2**15), ("int", 2**31))
 
 
@@ -26,9 +28,29 @@ def project_roles(df: DataFrame, spec: PipelineSpec) -> DataFrame:
 def fill_sentinel(df: DataFrame, value: int = SENTINEL) -> DataFrame:
     """Fill null and NaN in numeric columns, and null in text columns.
 
-    Dates and booleans cannot hold the sentinel and keep their nulls.
+    Integers and decimals too narrow for the value are widened; booleans become
+    integers 0 and 1 first. Dates cannot hold the sentinel and keep their nulls.
     """
-    return df.fillna(value).fillna(str(value))
+    wider = {f.name: _wide_enough(f.dataType, value) for f in df.schema.fields}
+    df = df.withColumns({c: F.col(c).cast(t) for c, t in wider.items() if t is not None})
+    number = {
+        f.name: F.coalesce(F.nanvl(F.col(f.name), F.lit(None)) if isinstance(f.dataType, _FLOATING) else F.col(f.name), F.lit(value).cast(f.dataType))
+        for f in df.schema.fields
+        if isinstance(f.dataType, T.NumericType)
+    }
+    return df.withColumns(number).fillna(str(value))
+
+
+def _wide_enough(kind: T.DataType, value: int) -> T.DataType | None:
+    """The type that a column needs to hold the sentinel, or None if it is wide enough."""
+    if isinstance(kind, (T.BooleanType, T.ByteType, T.ShortType)):
+        return T.IntegerType()
+    whole = len(str(abs(value)))
+    if isinstance(kind, T.DecimalType) and kind.precision - kind.scale < whole:
+        if whole + kind.scale > _DECIMAL_DIGITS:
+            return T.DoubleType()
+        return T.DecimalType(whole + kind.scale, kind.scale)
+    return None
 
 
 def ceil_2dp(df: DataFrame, columns: Iterable[str]) -> DataFrame:

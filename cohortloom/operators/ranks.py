@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 
 from cohortloom.session import shuffle_width
 
-# Bounds the cut points on the driver and the bucket rows of each group.
-MAX_BUCKETS = 1000
-MAX_SKETCH_GROUPS = 200
+#: Columns whose cut points come to the driver in one row: so many times the buckets numbers at most.
+COLUMNS_AT_ONCE = 50
 _MISSING = -1
 
 
 def bucket_count(df: DataFrame) -> int:
-    return max(2, min(MAX_BUCKETS, shuffle_width(df.sparkSession)))
+    """As many as shuffles have partitions: the width that the session is set to."""
+    return max(2, shuffle_width(df.sparkSession))
 
 
 def value_cuts(
@@ -33,18 +33,29 @@ def value_cuts(
     span: str | None = None,
     buckets: int | None = None,
 ) -> tuple[dict[str, list[float]], tuple | None]:
-    """Quantile cut points of double columns, and the least and greatest ``span``, from one job.
+    """Quantile cut points of double columns, and the least and greatest ``span``.
 
     Sketches of all tasks in one task would be too much, so groups of tasks are
     merged first and the quantiles of their quantiles are taken. One row comes
-    back: ``buckets - 1`` numbers per column.
+    back: ``buckets - 1`` numbers per column. Many columns take several jobs.
     """
     n = buckets or bucket_count(df)
+    found: dict[str, list[float]] = {}
+    edges = None
+    for at in range(0, max(1, len(columns)), COLUMNS_AT_ONCE):
+        part, edges = _cuts_of(df, columns[at : at + COLUMNS_AT_ONCE], span, n)
+        found |= part
+    return found, edges
+
+
+def _cuts_of(
+    df: DataFrame, columns: Sequence[str], span: str | None, n: int
+) -> tuple[dict[str, list[float]], tuple | None]:
     shares = ", ".join(f"{i / n}D" for i in range(1, n))
     accuracy = max(1000, 4 * n)
     names = {c: f"_cuts_{i}" for i, c in enumerate(columns)}
     edge = span or "CAST(NULL AS INT)"
-    group = F.spark_partition_id() % min(shuffle_width(df.sparkSession), MAX_SKETCH_GROUPS)
+    group = F.spark_partition_id() % shuffle_width(df.sparkSession)
     parts = df.groupBy(group.alias("_group")).agg(
         F.expr(f"min({edge}) AS _first"),
         F.expr(f"max({edge}) AS _last"),

@@ -5,42 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RECENT_RUNS = 1000
-
-
 def valid_metrics(df: DataFrame, value: str = "value") -> DataFrame:
     """Rows with a finite metric value."""
     column = F.col(value).cast("double")
     return df.filter(column.isNotNull() & ~F.isnan(column) & (F.abs(column) < float("inf")))
 
 
+def active_runs(df: DataFrame, experiment: object = None) -> DataFrame:
+    """Runs that are not deleted (column ``lifecycle_stage``, where there is one), of one experiment if it is given."""
+    if "lifecycle_stage" in df.columns:
+        df = df.filter(F.col("lifecycle_stage") == "active")
+    return df if experiment is None else df.filter(F.col("experiment_id") == experiment)
+
+
 def best_run(
     df: DataFrame,
     metric: str,
     ascending: bool = False,
     run: str = "run_id",
     started: str = "start_time",
+    experiment: object = None,
 ) -> DataFrame:
-    """The run with the greatest (or least) value of the metric; of equals the newest, then the greatest id.
+    """The active run with the greatest (or least) value of the metric; of equals the newest, then the greatest id.
 
     No row comes back when no run has the metric.
     """
     worth = -F.col("value") if ascending else F.col("value")
     best = F.max_by(F.struct(run, "value"), F.struct(worth, F.col(started), F.col(run)))
-    rows = valid_metrics(df.filter(F.col("metric") == metric))
+    rows = valid_metrics(active_runs(df, experiment).filter(F.col("metric") == metric))
     return rows.agg(best.alias("best")).filter(F.col("best").isNotNull()).select("best.*")
 
 
 def recent_runs(
     df: DataFrame,
-    limit: int = RECENT_RUNS,
+    limit: int | None = None,
     run: str = "run_id",
     started: str = "start_time",
-    lifecycle: str | None = None,
+    experiment: object = None,
 ) -> DataFrame:
-    """Active runs, newest first; a top-k that never sorts the whole table in one place."""
-    active = df.filter(F.col(lifecycle) == "active") if lifecycle else df
-    return active.orderBy(F.col(started).desc(), F.col(run)).limit(limit)
+    """Active runs, newest first; with a limit a top-k that never sorts the whole table in one place."""
+    ordered = active_runs(df, experiment).orderBy(F.col(started).desc(), F.col(run))
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def latest_per_key(

@@ -5,38 +5,33 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.operators.train import score
+from cohortloom.operators.train import input_columns, score
 from cohortloom.sources.writers import write_csv
 
 
-def input_columns(model: PipelineModel) -> list[str]:
-    """Columns the model reads, all of them numbers."""
-    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
-    return assembler.getInputCols()
-
-
 def check_signature(df: DataFrame, columns: Sequence[str]) -> None:
-    """Every model input must be there as a number; further columns are allowed."""
+    """Every model input must be there as a number or boolean; further columns are allowed."""
     types = {f.name: f.dataType for f in df.schema.fields}
     missing = [c for c in columns if c not in types]
     if missing:
         raise ValueError(f"model inputs are missing: {missing}")
-    wrong = {c: types[c].simpleString() for c in columns if not isinstance(types[c], T.NumericType)}
+    usable = (T.NumericType, T.BooleanType)
+    wrong = {c: types[c].simpleString() for c in columns if not isinstance(types[c], usable)}
     if wrong:
         raise ValueError(f"model inputs are not numbers: {wrong}")
 
 
 def batch_predict(model: PipelineModel | str, df: DataFrame, output_path: str | None = None) -> DataFrame:
-    """All input columns with ``prediction`` and ``probability``; optionally stored as CSV.
+    """All input columns with ``prediction`` and ``probability``; optionally stored.
 
-    A stored result is read back, so that the table is scored once.
+    The table is scored once, into Parquet at ``<output_path>/parquet``, which
+    is the result; the CSV at ``<output_path>/csv`` is written from that.
     """
     if isinstance(model, str):
         model = PipelineModel.load(model)
@@ -44,8 +39,10 @@ def batch_predict(model: PipelineModel | str, df: DataFrame, output_path: str |
     scored = score(model, df)
     if output_path is None:
         return scored
-    write_csv(scored, output_path)
-    return df.sparkSession.read.schema(scored.schema).option("header", True).csv(output_path)
+    scored.write.parquet(f"{output_path}/parquet")
+    stored = df.sparkSession.read.parquet(f"{output_path}/parquet")
+    write_csv(stored, f"{output_path}/csv")
+    return stored
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

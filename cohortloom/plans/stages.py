@@ -21,6 +21,7 @@ STAGE_ORDER = (
     "evaluation_results",
 )
 MANIFEST = "pipeline_state.json"
+FINGERPRINT = "_fingerprint"
 
 Result = DataFrame | PipelineModel | Mapping[str, Any] | list
 
@@ -61,9 +62,13 @@ class SharedFolder:
         stream = self._files.create(self._path(draft), True)
         stream.write(bytearray(text, "utf-8"))
         stream.close()
-        if self.exists(path):
-            self.delete(path)
-        self._files.rename(self._path(draft), self._path(path))
+        # A rename that overwrites is one step: the old file is there until the new one is.
+        jvm = self._spark._jvm
+        configuration = self._spark._jsc.hadoopConfiguration()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._files.getUri(), configuration)
+        options = self._spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        context.rename(self._files.makeQualified(self._path(draft)), self._files.makeQualified(self._path(path)), options)
 
 
 class StageStore:
@@ -135,11 +140,22 @@ class StageStore:
         entry = self.state.get(name)
         return entry is not None and ("path" not in entry or self.folder.exists(entry["path"]))
 
+    def claim(self, fingerprint: str) -> None:
+        """Take the folder for a run of this fingerprint; stages of another one are an error."""
+        known = self.state.get(FINGERPRINT, {}).get("value")
+        if known is None and self.state:
+            raise ValueError(f"{self.folder.path} holds stages of unknown origin; take another folder or clear it")
+        if known not in (None, fingerprint):
+            raise ValueError(f"{self.folder.path} holds stages of another table, spec or options; take another folder or clear it")
+        if known is None:
+            self.state[FINGERPRINT] = {"kind": "value", "value": fingerprint}
+            self._write_state()
+
     def info(self, name: str) -> dict | None:
         return self.state.get(name)
 
     def list(self) -> dict[str, dict]:
-        return dict(self.state)
+        return {name: entry for name, entry in self.state.items() if name != FINGERPRINT}
 
     def clear(self, name: str) -> bool:
         """Drop a stage; False when it is not stored."""
@@ -182,7 +198,7 @@ class StageStore:
     def status(self) -> DataFrame:
         """One row per stage in running order: ``step, stage, completed, timestamp``."""
         rows = [
-            (i, name, name in self.state, self.state.get(name, {}).get("timestamp"))
+            (i, name, self.has(name), self.state.get(name, {}).get("timestamp"))
             for i, name in enumerate(STAGE_ORDER, start=1)
         ]
         return self.spark.createDataFrame(rows, "step int, stage string, completed boolean, timestamp string")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -13,6 +12,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -35,8 +36,8 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder for stored stages and checkpoints, named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder: on a
-    cluster the executors could not see each other's local disks.
+    A local session without that setting uses a folder below its warehouse; on a
+    cluster the setting is needed, as executors do not see each other's disks.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -46,8 +47,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="cohortloom-")
-    context.setCheckpointDir(folder)
+    context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/_cohortloom")
     return context.getCheckpointDir()
 
 

@@ -13,11 +13,9 @@ NO_CONDITION = "TRUE"
 CONDITION_SLOTS = 3
 MAX_NAME_LENGTH = 63
 
-# Fixed value: source column to entity, where a spec gives no mapping.
-DEFAULT_ENTITY_MAP = {"uid": "bnc_uid"}
-
 _WINDOW_NAME = re.compile(r"l(\d+)([hdwmy])")
 _HOURS = {"h": 1, "d": 24, "w": 168}
+_MONTHS = {"m": 1, "y": 12}
 _WINDOW_UNITS = {"h": "hour", "d": "day", "w": "week", "m": "month", "y": "year"}
 
 
@@ -89,14 +87,10 @@ class Feature:
     window: str
 
     @property
-    def full_name(self) -> str:
+    def name(self) -> str:
         parts = [self.aggregation.lower(), *(c.name for c in self.conditions), self.column, self.window]
         return "_".join(parts)
 
-    @property
-    def name(self) -> str:
-        return self.full_name[:MAX_NAME_LENGTH]
-
     @property
     def description(self) -> str:
         words = [self.aggregation.lower(), self.column]
@@ -127,13 +121,14 @@ class FeatureSpec:
     last_updated_by: str = ""
     approved_by: str = ""
     status: str = "CREATED"
-    entity_map: Mapping[str, str] = field(default_factory=lambda: dict(DEFAULT_ENTITY_MAP))
+    entity_map: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
     def from_dict(cls, config: Mapping[str, Any]) -> FeatureSpec:
-        slots = tuple(
-            tuple(_conditions(config.get(f"condition_name_{i}", [NO_CONDITION]))) for i in range(CONDITION_SLOTS)
-        )
+        lists = [config.get(f"condition_name_{i}", [NO_CONDITION]) for i in range(CONDITION_SLOTS)]
+        # A name may be used in one list and get its SQL in another.
+        known = {str(n): str(sql) for items in lists for x in items if isinstance(x, Mapping) for n, sql in x.items()}
+        slots = tuple(tuple(_conditions(items, known)) for items in lists)
         columns = {}
         for column, plan in config["col_agg_dict"].items():
             flags = [bool(f) for f in plan["conditions"]]
@@ -156,7 +151,7 @@ class FeatureSpec:
             last_updated_by=config.get("last_updated_by", ""),
             approved_by=config.get("approved_by", ""),
             status=config.get("status", "CREATED"),
-            entity_map=dict(config.get("source_input_mapping", DEFAULT_ENTITY_MAP)),
+            entity_map=dict(config.get("source_input_mapping") or {}),
         )
         spec.check_names()
         return spec
@@ -179,16 +174,18 @@ class FeatureSpec:
         ]
 
     def check_names(self) -> None:
-        """Two features must not share a name once names are cut to the limit."""
-        owner: dict[str, str] = {}
+        """Names must be within the limit and differ; ``name_report`` of an unchecked spec shows all that are not."""
+        seen: set[str] = set()
         for feature in self.features():
-            first = owner.setdefault(feature.name, feature.full_name)
-            if first != feature.full_name:
-                raise ValueError(f"{first} and {feature.full_name} are both cut to {feature.name}")
+            if len(feature.name) > MAX_NAME_LENGTH:
+                raise ValueError(f"{feature.name} has {len(feature.name)} characters, {MAX_NAME_LENGTH} are allowed")
+            if feature.name in seen:
+                raise ValueError(f"two features are named {feature.name}")
+            seen.add(feature.name)
 
     def name_report(self) -> dict[str, Any]:
-        """Lengths before cutting, so names over the limit are visible."""
-        lengths = [(f.full_name, len(f.full_name)) for f in self.features()]
+        """Names and lengths, and those over the limit."""
+        lengths = [(f.name, len(f.name)) for f in self.features()]
         sizes = [size for _, size in lengths]
         return {
             "total_features": len(lengths),
@@ -211,7 +208,7 @@ def is_fixed_window(name: str) -> bool:
 def window_millis(name: str) -> int:
     """Length of a fixed look-back window; months and years have no fixed length."""
     if not is_fixed_window(name):
-        raise ValueError(f"window {name!r} has no fixed length, use l<N>h, l<N>d or l<N>w")
+        raise ValueError(f"window {name!r} has no fixed length, as l<N>h, l<N>d or l<N>w have")
     match = _WINDOW_NAME.fullmatch(name.lower())
     return int(match[1]) * _HOURS[match[2]] * 3_600_000
 
@@ -224,9 +221,13 @@ def describe_window(name: str) -> str:
     return f"last {match[1]} {_WINDOW_UNITS[match[2]]}{plural}"
 
 
-def _conditions(items: Sequence[Any]) -> Iterator[Condition]:
-    # SQL of condition names that a list gives without SQL of its own.
-    known = {"is_ios": "(is_ios = TRUE)", "is_notios": "(is_ios = FALSE)"}
+def window_months(name: str) -> int | None:
+    """Calendar months of a look-back by month or year, else None."""
+    match = _WINDOW_NAME.fullmatch(name.lower())
+    return int(match[1]) * _MONTHS[match[2]] if match and match[2] in _MONTHS else None
+
+
+def _conditions(items: Sequence[Any], known: Mapping[str, str]) -> Iterator[Condition]:
     for item in items:
         if isinstance(item, Mapping):
             yield from (Condition(str(name), str(sql)) for name, sql in item.items())

@@ -201,7 +201,12 @@ ORACLES = {
     "project_roles": "SELECT o_orderkey, o_orderstatus, o_orderdate, o_totalprice, o_orderpriority FROM orders",
     "fill_sentinel": f"""
         SELECT o_orderkey, o_custkey, o_orderstatus, COALESCE(o_totalprice, -999999) AS o_totalprice, o_orderdate,
-               COALESCE(o_orderpriority, '-999999') AS o_orderpriority FROM ({HOLED_ORDERS}) AS o""",
+               COALESCE(o_orderpriority, '-999999') AS o_orderpriority,
+               CAST(CASE WHEN o_orderkey % 7 = 0 THEN -999999 ELSE o_orderkey % 100 END AS INTEGER) AS tiny,
+               CAST(CASE WHEN o_orderkey % 7 = 0 THEN -999999 ELSE o_orderkey % 1000 END AS INTEGER) AS small,
+               CAST(CASE WHEN o_orderkey % 7 = 0 THEN -999999 ELSE (o_orderkey % 10) / 4.0 END AS DECIMAL(8,2)) AS cents,
+               CAST(CASE WHEN o_orderkey % 7 = 0 THEN -999999 WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS INTEGER) AS even
+        FROM ({HOLED_ORDERS}) AS o""",
     "ceil_2dp": """
         SELECT l_orderkey, ceil(l_quantity * 100) / 100 AS l_quantity,
                ceil(l_extendedprice * 100) / 100 AS l_extendedprice,
@@ -258,8 +263,8 @@ ORACLES = {
           SELECT feature, CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank
           FROM ({SEPARATION}) AS s),
         kept AS (SELECT * FROM ranked WHERE feature NOT IN (SELECT feature FROM shifting))
-        SELECT feature, rank FROM kept WHERE (SELECT count(*) FROM kept) >= 2
-        UNION ALL SELECT feature, rank FROM ranked WHERE (SELECT count(*) FROM kept) < 2 AND rank <= 10""",
+        SELECT feature, rank, FALSE AS fell_back FROM kept WHERE (SELECT count(*) FROM kept) >= 2
+        UNION ALL SELECT feature, rank, TRUE FROM ranked WHERE (SELECT count(*) FROM kept) < 2""",
     "union_splits": "SELECT * FROM orders WHERE o_orderdate IS NOT NULL",
     "distinct_months": "SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS month FROM orders ORDER BY month",
     "feat_count": feature_sql({"event_id": ["COUNT"]}),
@@ -297,8 +302,8 @@ ORACLES = {
         WITH scored AS ({SCORED}), {best_f1_ctes("1")}
         SELECT f1, threshold, tp, fp, fn, tn, "precision", recall, accuracy FROM chosen""",
     "cv_summary": f"""
-        WITH {auc_ctes("l_linenumber")}, {best_f1_ctes("l_linenumber")},
-        folds AS (SELECT c.*, a.auc FROM chosen AS c JOIN areas AS a ON a.g = c.g),
+        WITH {auc_ctes("NULLIF(l_linenumber, 7)")}, {best_f1_ctes("NULLIF(l_linenumber, 7)")},
+        folds AS (SELECT c.*, a.auc FROM chosen AS c JOIN areas AS a ON a.g IS NOT DISTINCT FROM c.g),
         long AS (
           SELECT 'auc' AS metric, auc AS value FROM folds
           UNION ALL SELECT 'accuracy', accuracy FROM folds
@@ -327,12 +332,53 @@ ORACLES = {
     "best_run": """
         WITH runs AS (
           SELECT user_id AS run_id, arg_max(value, event_id) AS value, max(ts) AS start_time
-          FROM events WHERE event_type = 'purchase' GROUP BY user_id)
+          FROM events WHERE event_type = 'purchase' AND user_id % 7 <> 0 AND user_id % 3 = 1 GROUP BY user_id)
         SELECT run_id, value FROM runs ORDER BY value DESC, start_time DESC, run_id DESC LIMIT 1""",
     "recent_runs": """
-        SELECT user_id AS run_id, max(ts) AS start_time FROM events
+        SELECT user_id AS run_id, max(ts) AS start_time FROM events WHERE user_id % 7 <> 0 AND user_id % 3 = 1
         GROUP BY user_id ORDER BY start_time DESC, run_id LIMIT 20""",
     "latest_per_key": """
         SELECT user_id AS name, CAST(event_id AS VARCHAR) AS version, event_type, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
+    # A label that follows from one column: trees find that column and no other, and predict without error.
+    "feature_importance": """
+        SELECT feature, CASE WHEN feature = 'quantity' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS importance
+        FROM (SELECT unnest(['quantity', 'discount', 'tax', 'returned']) AS feature) AS f
+        WHERE (SELECT count(DISTINCT l_quantity > 25) FROM lineitem) = 2""",
+    "varimp": """
+        SELECT variable, CASE WHEN variable = 'quantity' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+                 AS relative_importance
+        FROM (SELECT unnest(['quantity', 'discount', 'tax', 'returned']) AS variable) AS f
+        WHERE (SELECT count(DISTINCT l_quantity > 25) FROM lineitem) = 2""",
+    "train_leaderboard": """
+        SELECT model, settings, CAST(1 AS DOUBLE) AS auc FROM (VALUES
+          ('linear', '{''regParam'': 0.0, ''elasticNetParam'': 0.5}'),
+          ('linear', '{''regParam'': 0.01, ''elasticNetParam'': 0.5}'),
+          ('linear', '{''regParam'': 0.1, ''elasticNetParam'': 0.5}'),
+          ('forest', '{''numTrees'': 20, ''maxDepth'': 5}'),
+          ('forest', '{''numTrees'': 50, ''maxDepth'': 8}'),
+          ('boosted', '{''maxIter'': 20, ''maxDepth'': 3}'),
+          ('boosted', '{''maxIter'': 20, ''maxDepth'': 5}'),
+          ('stacked', '{''regParam'': 0.0}')) AS b(model, settings)
+        WHERE (SELECT count(DISTINCT l_quantity > 25) FROM lineitem) = 2""",
+    "stacked_model": """
+        SELECT l_orderkey, l_linenumber, CAST(l_quantity > 25 AS INTEGER) AS is_big,
+               CAST(l_quantity > 25 AS INTEGER) AS prediction FROM lineitem""",
+    "batch_predict": """
+        SELECT l_orderkey, l_linenumber, l_shipdate, CAST(l_quantity > 25 AS INTEGER) AS is_big,
+               CASE WHEN NOT (l_linenumber = 2 AND l_quantity < 5) THEN l_quantity END AS quantity,
+               CASE WHEN l_linenumber = 3 THEN CAST('nan' AS DOUBLE) WHEN l_linenumber <> 4 THEN l_discount END AS discount,
+               CASE WHEN l_linenumber <> 5 THEN l_tax END AS tax,
+               CASE WHEN l_linenumber <> 6 THEN l_returnflag = 'R' END AS returned,
+               CASE WHEN l_linenumber = 1 THEN '' WHEN l_linenumber = 2 THEN 'a "b"' || chr(10) || 'c'
+                    WHEN l_linenumber = 3 THEN 'x,' || chr(13) || chr(10) || 'y'
+                    WHEN l_linenumber <> 4 THEN l_returnflag END AS note,
+               CAST(l_quantity > 25 AS INTEGER) AS prediction FROM lineitem""",
+    "run_pipeline": """
+        WITH whole AS (
+          SELECT l_linestatus, min(l_shipdate) AS d FROM lineitem GROUP BY l_orderkey, l_linenumber, l_linestatus)
+        SELECT strftime(d, '%Y-%m') AS month, count(*) AS population,
+               CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS positive_count,
+               avg(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS positive_rate
+        FROM whole WHERE d IS NOT NULL GROUP BY month""",
 }

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions import columns as C
 from cohortloom.operators import drift, evaluate, features, prepare, quality, runlog, split
 from cohortloom.operators import score as scoring
 from cohortloom.operators import train as training
-from cohortloom.plans.pipeline import PipelineOptions, run_pipeline
+from cohortloom.plans.pipeline import run_pipeline
 from cohortloom.plans.stages import StageStore
 from cohortloom.session import fresh_folder, use_utc
 from cohortloom.sources import readers, writers
@@ -141,7 +141,7 @@ def scan_lookback(spark, folder):
 def sink_csv(spark, folder):
     report = monthly_performance(spark, folder)
     path = writers.write_csv(report, fresh_folder(spark, "csv"))
-    return spark.read.schema(report.schema).option("header", True).csv(path)
+    return spark.read.schema(report.schema).option("header", True).option("escape", '"').csv(path)
 
 
 def sink_json(spark, folder):
@@ -215,7 +215,17 @@ def holed_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fill_sentinel(spark, folder):
-    return prepare.fill_sentinel(holed_orders(spark, folder))
+    key = F.col("o_orderkey")
+    gap = key % 7 == 0
+    narrow = holed_orders(spark, folder).withColumns(
+        {
+            "tiny": F.when(~gap, key % 100).cast("tinyint"),
+            "small": F.when(~gap, key % 1000).cast("smallint"),
+            "cents": F.when(~gap, (key % 10) / 4).cast("decimal(5,2)"),
+            "even": F.when(~gap, key % 2 == 0),
+        }
+    )
+    return prepare.fill_sentinel(narrow)
 
 
 def ceil_2dp(spark, folder):
@@ -271,22 +281,23 @@ def validation_report(spark, folder):
 # --- splits
 
 
-def tagged(parts: tuple[DataFrame, DataFrame]) -> DataFrame:
-    train, test = parts
-    return split.union_splits(
-        train.withColumn("split", F.lit("train")), test.withColumn("split", F.lit("test"))
-    )
+def tagged(df: DataFrame, part: Column) -> DataFrame:
+    return split.union_splits(df, part).withColumn("split", part)
+
+
+def orders_part(date: str = "o_orderdate") -> Column:
+    return split.part_of(replace(ORDERS, date=date), OOT_START)
 
 
 def split_oot(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     dated = orders.withColumn("o_orderdate", F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")))
-    return tagged(split.split_at(dated, "o_orderdate", OOT_START))
+    return tagged(dated, orders_part())
 
 
 def split_last_month(spark, folder):
     events = table(spark, folder, "events").select("event_id", "ts")
-    return tagged(split.split_last_month(events, "ts"))
+    return tagged(events, split.part_of(replace(ORDERS, date="ts"), split.last_month_start(events, "ts").scalar()))
 
 
 def sort_by_date(spark, folder):
@@ -295,13 +306,11 @@ def sort_by_date(spark, folder):
 
 
 def split_summary(spark, folder):
-    orders = table(spark, folder, "orders")
-    return split.split_summary(*split.split_at(orders, "o_orderdate", OOT_START), "o_orderdate")
+    return split.split_summary(table(spark, folder, "orders"), "o_orderdate", orders_part())
 
 
 def union_splits(spark, folder):
-    train, test = split.split_at(table(spark, folder, "orders"), "o_orderdate", OOT_START)
-    return split.union_splits(train, test)
+    return split.union_splits(table(spark, folder, "orders"), orders_part())
 
 
 def distinct_months(spark, folder):
@@ -335,7 +344,7 @@ def final_features(spark, folder):
     order = Window.orderBy(F.col("importance").desc(), "feature")  # one row per feature name
     ranked = separation(spark, folder).select("feature", F.row_number().over(order).alias("rank"))
     shifting = drift.shifting_features(ks_of_lineitem(spark, folder), LOW_THRESHOLD)
-    return training.final_features(ranked, shifting)
+    return training.final_features(ranked, shifting).select("feature", "rank", "fell_back")
 
 
 # --- drift
@@ -395,48 +404,71 @@ def confusion_best_f1(spark, folder):
 
 
 def cv_summary(spark, folder):
-    folds = evaluate.fold_metrics(scored_lineitem(spark, folder), "l_linenumber", "score", "label")
+    fold = F.nullif(F.col("l_linenumber"), F.lit(7))  # one fold without a number
+    scored = scored_lineitem(spark, folder).withColumn("fold", fold)
+    folds = evaluate.fold_metrics(scored, "fold", "score", "label")
     return evaluate.cv_summary(folds).withColumns({c: F.round(c, 9) for c in ("mean", "std")})
 
 
 # --- ranking, training, scoring
 
 
+def learnable(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items with a label that follows from the quantity, missing inputs, and texts that are hard to store."""
+    line, quantity = F.col("l_linenumber"), F.col("l_quantity")
+    given = F.when(~((line == 2) & (quantity < 5)), quantity)
+    return table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_shipdate",
+        (F.coalesce(given, F.lit(0.0)) > BIG).cast("int").alias("is_big"),
+        given.alias("quantity"),
+        F.when(line == 3, F.lit(float("nan"))).when(line != 4, F.col("l_discount")).alias("discount"),
+        F.when(line != 5, F.col("l_tax")).alias("tax"),
+        F.when(line != 6, F.col("l_returnflag") == "R").alias("returned"),
+        F.when(line == 1, "").when(line == 2, 'a "b"\nc').when(line == 3, "x,\r\ny").when(line != 4, F.col("l_returnflag")).alias("note"),
+    )
+
+
+BIG = 25.0
+INPUTS = ("quantity", "discount", "tax", "returned")
+LEARNABLE = PipelineSpec(("l_orderkey", "l_linenumber"), "is_big", "l_shipdate", DRIFT_START, ignored=("note",))
+# One named setting of each family.
+ONE_OF_EACH = tuple(replace(f, settings=f.settings[-1:]) for f in training.DEFAULT_GRID)
+BOOSTED = training.DEFAULT_GRID[-1]
+
+
 def feature_importance(spark, folder):
-    lineitem = table(spark, folder, "lineitem")
-    return training.feature_importance(lineitem, LINEITEM.features(lineitem.columns), LINEITEM.target)
+    ranked = training.feature_importance(learnable(spark, folder), INPUTS, LEARNABLE.target)
+    return ranked.withColumn("importance", F.round("importance", 6))
 
 
 def class_weights(spark, folder):
     return training.class_weights(table(spark, folder, "labels"), "quality")
 
 
-@lru_cache(maxsize=2)
-def _trained(spark: SparkSession, folder: str) -> training.Trained:
-    lineitem = table(spark, folder, "lineitem")
-    names = LINEITEM.features(lineitem.columns)
-    return training.train(lineitem, LINEITEM, names, max_models=3)
-
-
 def train_leaderboard(spark, folder):
-    return _trained(spark, folder).leaderboard
+    board = training.train(learnable(spark, folder), LEARNABLE, INPUTS).leaderboard
+    return board.select("model", "settings", F.round("auc", 2).alias("auc"))
 
 
 def stacked_model(spark, folder):
-    model = _trained(spark, folder).models[training.STACK]
-    scored = training.score(model, table(spark, folder, "lineitem"))
-    return scored.select("l_orderkey", "l_linenumber", "prediction", "probability")
+    rows = learnable(spark, folder)
+    model = training.train(rows, LEARNABLE, INPUTS, ONE_OF_EACH).models[training.STACK]
+    return training.score(model, rows).select("l_orderkey", "l_linenumber", "is_big", "prediction")
 
 
 def varimp(spark, folder):
-    trained = _trained(spark, folder)
-    return training.varimp(table(spark, folder, "lineitem"), trained.models["boosted"], trained.features)
+    rows = learnable(spark, folder)
+    table_ = training.varimp(rows, training.fit_one(rows, LEARNABLE, INPUTS, BOOSTED), INPUTS)
+    return table_.withColumn("relative_importance", F.round("relative_importance", 6))
 
 
 def batch_predict(spark, folder):
-    path = fresh_folder(spark, "model")
-    _trained(spark, folder).models["forest"].write().save(path)
-    return scoring.batch_predict(path, table(spark, folder, "lineitem"), fresh_folder(spark, "scored"))
+    rows, path = learnable(spark, folder), fresh_folder(spark, "model")
+    training.fit_one(rows, LEARNABLE, INPUTS, BOOSTED).write().save(path)
+    scored = scoring.batch_predict(path, rows, fresh_folder(spark, "scored"))
+    return scored.select(*rows.columns, "prediction")
 
 
 def predict_proba(spark, folder):
@@ -480,14 +512,13 @@ PIPELINE = PipelineSpec(
     train_start=DRIFT_START,
     oot_start=OOT_START,
 )
-QUICK = PipelineOptions(ranking_rounds=10, max_models=2, stack=False)
 
 
 def run_all_stages(spark, folder):
     home = fresh_folder(spark, "run")
     rows = pipeline_rows(spark, folder)
-    result = run_pipeline(rows, PIPELINE, f"{home}/stages", QUICK, output=f"{home}/output")
-    return result["monthly_performance"]
+    result = run_pipeline(rows, PIPELINE, f"{home}/stages", output=f"{home}/output")
+    return result["monthly_performance"].select("month", "population", "positive_count", "positive_rate")
 
 
 # --- run log
@@ -513,14 +544,20 @@ def valid_metrics(spark, folder):
     return runlog.valid_metrics(events.select("event_id", "user_id", "event_type", value.alias("value")))
 
 
+def staged(runs: DataFrame) -> DataFrame:
+    """Runs with a life cycle and an experiment, from their ids."""
+    stage = F.when(F.col("run_id") % 7 == 0, "deleted").otherwise("active")
+    return runs.withColumns({"lifecycle_stage": stage, "experiment_id": F.col("run_id") % 3})
+
+
 def best_run(spark, folder):
-    return runlog.best_run(run_metrics(spark, folder), "purchase")
+    return runlog.best_run(staged(run_metrics(spark, folder)), "purchase", experiment=1)
 
 
 def recent_runs(spark, folder):
     events = table(spark, folder, "events")
     runs = events.groupBy(F.col("user_id").alias("run_id")).agg(F.max("ts").alias("start_time"))
-    return runlog.recent_runs(runs, 20)
+    return runlog.recent_runs(staged(runs), 20, experiment=1).select("run_id", "start_time")
 
 
 def latest_per_key(spark, folder):

@@ -81,6 +81,27 @@ def test_fold_metrics_and_summary(scored):
     assert summary["auc"]["std"] == pytest.approx(abs(a - b) / 2**0.5)
 
 
+def test_missing_labels_and_scores_fail(spark):
+    for row in ((1, None), (None, 0.5), (1, float("nan"))):
+        df = spark.createDataFrame([(dt.datetime(2024, 1, 1), *row), (dt.datetime(2024, 1, 1), 0, 0.1)], "d timestamp_ntz, label int, score double")
+        for metric in (evaluate.monthly_performance, evaluate.monthly_stats):
+            with pytest.raises(Exception, match="is missing"):
+                metric(df, "d", "score", "label").collect()
+
+
+def test_a_group_without_a_key_is_kept(spark):
+    rows = [(None, 0.1, 0), (None, 0.9, 1), (1, 0.2, 1), (1, 0.8, 0)]
+    df = spark.createDataFrame(rows, "g int, score double, label int")
+    assert {r["g0"]: r["auc"] for r in evaluate.auc_by_group(df, [F.col("g")], "score", "label")[0].collect()} == {None: 1.0, 1: 0.0}
+    assert {r["g0"] for r in evaluate.best_f1(df, [F.col("g")], "score", "label")[0].collect()} == {None, 1}
+    assert {r["fold"] for r in evaluate.fold_metrics(df, "g", "score", "label").collect()} == {None, 1}
+
+
+def test_auc_of_large_counts(spark):
+    counts = spark.createDataFrame([(0, 0.1, 0, 4 * 10**10), (0, 0.2, 4 * 10**10, 8 * 10**10)], "bucket int, score double, pos long, n long")
+    assert evaluate._auc(counts, []).first()["auc"] == pytest.approx(0.75)
+
+
 def test_model_auc_is_null_when_a_part_is_absent(scored):
     rows, df = scored
     row = evaluate.model_auc(df.withColumn("part", F.lit("train")), "part", "score", "label").first()

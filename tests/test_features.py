@@ -4,6 +4,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 from test_spec import login_config
 
 from cohortloom import FeatureSpec
@@ -108,6 +109,29 @@ def test_windows_that_are_no_lookbacks_use_the_plain_form(spark):
     assert [tuple(r) for r in table.collect()] == [(1, 1, 1), (2, 0, 1)]
 
 
+def test_lookbacks_that_do_not_nest_fail(spark):
+    df = prepared(spark, [(1, 1, "ios", AS_OF_MS)]).withColumn("l7d", F.lit(False))
+    with pytest.raises(Exception, match="in window l3d but not in l7d"):
+        wide_features(df, spec()).collect()
+
+
+@pytest.mark.parametrize("build", [conditional_features, lookback_features])
+def test_averages_of_large_integers(spark, build):
+    df = prepared(spark, [(1, 1, "ios", AS_OF_MS), (1, 2, "ios", AS_OF_MS)]).withColumn("large", F.lit(5 * 10**18))
+    config = login_config(col_agg_dict={"large": {"conditions": [False], "aggregations": ["AVG", "STDDEV"]}}, time_cond_dict=["l1d", "l7d"])
+    row = build(df, FeatureSpec.from_dict(config)).first()
+    assert row["avg_large_l1d"] == row["avg_large_l7d"] == 5e18
+
+
+def test_month_and_year_windows(spark):
+    day = lambda text: F.unix_millis(F.lit(text).cast("timestamp"))
+    flags = C.window_flags(F.col("t"), day("2024-03-31"), ["l1m", "l1y", "l30d"])
+    times = ["2024-02-29", "2024-02-28 23:59:59", "2023-03-31", "2023-03-30", "2024-03-31", "2024-04-01"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "i int, s string").select("i", F.unix_millis(F.col("s").cast("timestamp")).alias("t"))
+    found = [tuple(r) for r in df.select("i", *(f.alias(n) for n, f in flags.items())).orderBy("i").select("l1m", "l1y").collect()]
+    assert found == [(True, True), (False, True), (False, True), (False, False), (True, True), (False, False)]
+
+
 def test_window_ends_are_inclusive(spark):
     edges = [(1, 1, "ios", AS_OF_MS), (1, 2, "ios", AS_OF_MS - DAY), (1, 3, "ios", AS_OF_MS - DAY - 1)]
     row = lookback_features(prepared(spark, edges), spec()).first()

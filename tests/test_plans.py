@@ -1,5 +1,7 @@
 """Physical plans: shuffles, pushed filters, pruned columns, no Python in the row path."""
 
+import re
+
 import pytest
 from conftest import TESTDATA
 from test_oracles import entry
@@ -52,17 +54,41 @@ def test_validation_is_one_scan(spark):
     assert text.count("FileScan") == 1
 
 
-def test_no_window_takes_rows_to_one_task(spark):
-    for name in ("monthly_auc", "ks_stat", "cv_summary"):
-        text = plan(entry.queries()[name](spark, SMALL))
-        for line in text.splitlines():
-            assert not ("SinglePartition" in line and "rangepartitioning" in line)
-        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+def under(text, name):
+    """For each node of this name in a plan, the names of the nodes below it, the nearest first."""
+    lines = [(re.match(r"[\s|:+-]*", line).end(), re.sub(r"^[\s|:+-]*(\*\(\d+\) )?", "", line)) for line in text.splitlines()]
+    found = []
+    for i, (depth, node) in enumerate(lines):
+        if node.startswith(name):
+            below = []
+            for other, what in lines[i + 1 :]:
+                if other <= depth:
+                    break
+                below.append(what)
+            found.append(below)
+    return found
+
+
+@pytest.mark.parametrize("name", ["monthly_auc", "ks_stat", "cv_summary", "drift_months"])
+def test_a_window_in_one_task_only_follows_an_aggregate(spark, name):
+    text = plan(entry.queries()[name](spark, SMALL))
+    windows = under(text, "Window ")
+    assert windows
+    for below in windows:
+        exchange = next((i for i, what in enumerate(below) if what.startswith("Exchange")), None)
+        if exchange is not None and "SinglePartition" in below[exchange]:
+            assert any("Aggregate" in what for what in below[exchange + 1 : exchange + 3]), below[:4]
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("name", ["split_summary", "split_oot", "union_splits"])
+def test_both_parts_come_from_one_scan(spark, name):
+    assert plan(entry.queries()[name](spark, SMALL)).count("FileScan") == 1
 
 
 def test_no_query_runs_python_per_row(spark):
-    trains = set(entry.queries()) - set(entry.oracle_sql())
-    for name, query in entry.queries().items():
-        if name not in trains:
+    stored = {"train_leaderboard", "stacked_model", "varimp", "batch_predict", "feature_importance", "run_pipeline"}
+    for name, query in Q.QUERIES.items():
+        if name not in stored:
             text = plan(query(spark, SMALL))
             assert "Python" not in text and "Pandas" not in text, name

@@ -1,11 +1,13 @@
 import datetime as dt
 import math
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortloom import PipelineSpec
 from cohortloom.operators.prepare import ceil_2dp, fill_sentinel, narrow_integers, preprocess
-from cohortloom.operators.split import distinct_months, split, split_summary
+from cohortloom.operators.split import distinct_months, last_month_start, part_of, sort_by_date, split, split_summary, union_splits
 
 SPEC = PipelineSpec(("id_col",), "target_col", "date_col", "2024-01-01", ignored=("ignored_feature",))
 NAN, INF = float("nan"), float("inf")
@@ -50,7 +52,17 @@ def test_ceil_edges(spark):
 
 def test_fill_covers_ids_and_text(spark):
     df = spark.createDataFrame([(None, None, None, None)], "a long, b string, c boolean, d date")
-    assert tuple(fill_sentinel(df).first()) == (-999999, "-999999", None, None)
+    assert tuple(fill_sentinel(df).first()) == (-999999, "-999999", -999999, None)
+
+
+def test_fill_widens_narrow_types(spark):
+    schema = "a tinyint, b smallint, c decimal(5,2), d decimal(38,36), e float, f boolean, g decimal(20,0)"
+    df = spark.createDataFrame([(None,) * 7, (1, 2, Decimal("3.25"), Decimal("0.5"), NAN, True, Decimal(4))], schema)
+    filled = fill_sentinel(df)
+    assert [t for _, t in filled.dtypes] == ["int", "int", "decimal(8,2)", "double", "float", "int", "decimal(20,0)"]
+    first, second = filled.collect()
+    assert {float(v) for v in first} == {-999999.0}
+    assert tuple(map(float, second)) == (1, 2, 3.25, 0.5, -999999, 1, 4)
 
 
 def test_narrow_integers(spark):
@@ -84,8 +96,11 @@ def test_split_at_a_date(spark):
 def test_split_last_month(spark, days, sizes):
     train, test = split(dated(spark, days), SPEC)
     assert (train.count(), test.count()) == sizes
-    summary = {r["split"]: r["n_rows"] for r in split_summary(train, test, "date_col").collect()}
+    df = dated(spark, days)
+    part = part_of(SPEC, last_month_start(df, "date_col").scalar())
+    summary = {r["split"]: r["n_rows"] for r in split_summary(df, "date_col", part).collect()}
     assert (summary["train"], summary["test"]) == sizes
+    assert union_splits(df, part).count() == sum(sizes)
 
 
 def test_optional_upper_bounds(spark):
@@ -95,6 +110,17 @@ def test_optional_upper_bounds(spark):
     )
     train, test = split(dated(spark, days), spec)
     assert (train.count(), test.count()) == (1, 2)
+    assert union_splits(dated(spark, days), part_of(spec, spec.oot_start)).count() == 3
+
+
+def test_a_hot_date_is_split_between_tasks(spark):
+    df = spark.range(0, 20_000, 1, 8).selectExpr("id", "IF(id % 3 = 0, DATE'2024-01-01', DATE'2024-01-02') AS day")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = sort_by_date(df, "day").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(r["count"] for r in sizes) < 20_000 / 3
 
 
 def test_split_filters_reach_the_files(spark):

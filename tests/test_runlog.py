@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from cohortloom.operators.runlog import best_run, latest_per_key, model_version, recent_runs, valid_metrics
 
@@ -30,10 +31,19 @@ def test_best_run(runs):
 
 def test_recent_runs(spark):
     df = spark.createDataFrame(
-        [("a", 1, "active"), ("b", 3, "active"), ("c", 2, "deleted"), ("d", 4, "active")],
-        "run_id string, start_time long, lifecycle string",
+        [("a", 1, "active", "x"), ("b", 3, "active", "x"), ("c", 2, "deleted", "x"), ("d", 4, "active", "y")],
+        "run_id string, start_time long, lifecycle_stage string, experiment_id string",
     )
-    assert [r["run_id"] for r in recent_runs(df, 2, lifecycle="lifecycle").collect()] == ["d", "b"]
+
+    def names(*args, **kwargs):
+        return [r["run_id"] for r in recent_runs(df, *args, **kwargs).collect()]
+
+    assert names(2) == ["d", "b"] and names() == ["d", "b", "a"] and names(experiment="x") == ["b", "a"]
+    assert [r["run_id"] for r in recent_runs(df.drop("lifecycle_stage")).collect()] == ["d", "b", "c", "a"]
+    metric = df.withColumns({"metric": F.lit("auc"), "value": F.col("start_time").cast("double")})
+    assert best_run(metric, "auc").first()["run_id"] == "d"
+    assert best_run(metric, "auc", experiment="x").first()["run_id"] == "b"
+    assert best_run(metric, "auc", ascending=True).first()["run_id"] == "a"
 
 
 def test_versions_compare_as_numbers(spark):

@@ -3,7 +3,7 @@ import pytest
 from cohortloom import FeatureSpec, PipelineSpec
 from cohortloom.operators.features import CATALOGUE_SCHEMA, catalogue
 from cohortloom.sources.writers import write_json
-from cohortloom.spec import DEFAULT_ENTITY_MAP, describe_window, window_millis
+from cohortloom.spec import describe_window, window_millis, window_months
 
 DAYS = [1, 3, 7, 14, 30, 60, 90]
 
@@ -51,16 +51,21 @@ def test_name_report():
     assert report["longest_feature"][1] == 44 and report["shortest_feature"] == ("min_is_ios_l1d", 14)
 
 
-def test_long_names_are_reported_and_cut():
+def test_long_and_repeated_names_are_rejected():
     columns = {"x" * 70: {"conditions": [False] * 3, "aggregations": ["COUNT"]}}
-    report = FeatureSpec.from_dict(login_config(col_agg_dict=columns, time_cond_dict=["l1d"])).name_report()
-    assert len(report["violations"]) == 1 and len(report["feature_names"][0]) == 63
+    with pytest.raises(ValueError, match="80 characters"):
+        FeatureSpec.from_dict(login_config(col_agg_dict=columns))
+    with pytest.raises(ValueError, match="two features are named count_login_id_l1d"):
+        FeatureSpec.from_dict(login_config(time_cond_dict=["l1d", "l1d"]))
 
 
-def test_names_that_collide_when_cut_are_rejected():
-    columns = {"x" * 70: {"conditions": [False] * 3, "aggregations": ["COUNT"]}}
-    with pytest.raises(ValueError, match="both cut to"):
-        FeatureSpec.from_dict(login_config(col_agg_dict=columns))
+def test_conditions_are_looked_up_in_all_lists():
+    config = login_config(
+        condition_name_0=["big"],
+        condition_name_1=["TRUE", {"big": "login_id > 5"}],
+        col_agg_dict={"login_id": {"conditions": [True, False, False], "aggregations": ["COUNT"]}},
+    )
+    assert FeatureSpec.from_dict(config).features()[0].conditions[0].sql == "login_id > 5"
 
 
 def test_unknown_aggregation_and_false_window_flag_are_rejected():
@@ -91,6 +96,7 @@ def test_windows():
     assert describe_window("l1h") == "last 1 hour" and describe_window("l2w") == "last 2 weeks"
     assert describe_window("recent") == "recent"
     assert window_millis("l2w") == 14 * 86_400_000
+    assert window_months("l2y") == 24 and window_months("l3m") == 3 and window_months("l3d") is None
     with pytest.raises(ValueError):
         window_millis("l1m")
 
@@ -101,7 +107,7 @@ def test_catalogue(spark, tmp_path):
     assert df.schema == CATALOGUE_SCHEMA and df.count() == 189
     row = df.filter("feature_name = 'login_hist_v1:count_is_ios_login_id_l7d'").first()
     assert row["description"] == "count login_id where is_ios last 7 days"
-    assert row["entities_mapping"] == DEFAULT_ENTITY_MAP and row["status"] == "CREATED"
+    assert row["entities_mapping"] == {} and row["status"] == "CREATED"
     assert row["feature_data_type"] == "float" and row["created_time"] == row["updated_time"] == 5
     path = write_json(df, str(tmp_path / "catalogue"))
     assert sorted(spark.read.schema(CATALOGUE_SCHEMA).json(path).collect()) == sorted(df.collect())

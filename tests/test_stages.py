@@ -6,6 +6,7 @@ import pytest
 
 from cohortloom import PipelineSpec
 from cohortloom.plans.pipeline import PipelineOptions, choose_features, run_pipeline
+from cohortloom.operators.train import families
 from cohortloom.plans.stages import MANIFEST, STAGE_ORDER, StageStore
 from cohortloom.session import shared_folder
 
@@ -69,10 +70,30 @@ def test_broken_manifest(spark, tmp_path):
         StageStore(spark, str(tmp_path))
 
 
-def test_choose_features():
+def test_choose_features(spark):
     names = [f"f{i}" for i in range(12)]
-    assert choose_features(names, ["f1"]) == [n for n in names if n != "f1"]
-    assert choose_features(names, names[1:]) == names[:10]
+    assert choose_features(spark, names, ["f1"]) == [n for n in names if n != "f1"]
+    assert choose_features(spark, names, names[1:]) == names
+    assert choose_features(spark, names, names[1:], fallback=10) == names[:10]
+
+
+def test_status_follows_the_data(spark, tmp_path):
+    store = StageStore(spark, str(tmp_path))
+    store.save("preprocessed_data", spark.range(1))
+    store.folder.delete(store.info("preprocessed_data")["path"])
+    assert not store.status().filter("stage = 'preprocessed_data'").first()["completed"]
+
+
+def test_a_folder_belongs_to_one_run(spark, tmp_path):
+    store = StageStore(spark, str(tmp_path / "a"))
+    store.claim("one")
+    StageStore(spark, str(tmp_path / "a")).claim("one")
+    with pytest.raises(ValueError, match="another table, spec or options"):
+        StageStore(spark, str(tmp_path / "a")).claim("two")
+    other = StageStore(spark, str(tmp_path / "b"))
+    other.save("preprocessed_data", spark.range(1))
+    with pytest.raises(ValueError, match="unknown origin"):
+        other.claim("one")
 
 
 def test_pipeline_runs_and_resumes(spark, tmp_path):
@@ -88,7 +109,7 @@ def test_pipeline_runs_and_resumes(spark, tmp_path):
         rows, "risk_id long, label int, partition_date timestamp_ntz, a double, b double, moving double, c double"
     )
     spec = PipelineSpec(("risk_id",), "label", "partition_date", "2024-01-01", oot_start="2024-04-01")
-    options = PipelineOptions(ranking_rounds=2, max_models=2, stack=False)
+    options = PipelineOptions(ranking_rounds=2, grid=tuple(families(2)), stack=False)
     folder, output = str(tmp_path / "stages"), str(tmp_path / "out")
     first = run_pipeline(df, spec, folder, options, output)
     assert first["shifting_features"] == ["moving"] and set(first["final_features"]) == {"a", "b", "c"}
@@ -97,7 +118,7 @@ def test_pipeline_runs_and_resumes(spark, tmp_path):
     assert all(r["population"] == 150 and r["auc"] > 0.5 for r in months)
     summary = json.loads((tmp_path / "out" / "model_summary.json").read_text())
     assert summary["performance_metrics"]["cross_validation_metrics"]["auc"]["mean"] > 0.5
-    assert summary["performance_metrics"]["validation_auc"] is None
+    assert 0.5 < summary["performance_metrics"]["validation_auc"] < 1
     metadata = json.loads((tmp_path / "out" / "pipeline_metadata.json").read_text())
     assert list(metadata["checkpoints_used"]) == list(STAGE_ORDER)
     written = spark.read.option("header", True).csv(f"{output}/monthly_performance")
