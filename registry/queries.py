@@ -447,8 +447,19 @@ def class_weights(spark, folder):
     return training.class_weights(table(spark, folder, "labels"), "quality")
 
 
+def without_gaps() -> dict[str, Column]:
+    number = F.nanvl("discount", F.lit(None).cast("double"))
+    return {
+        "discount": F.coalesce(number, F.lit(0.0)),
+        "tax": F.coalesce("tax", F.lit(0.0)),
+        "returned": F.coalesce("returned", F.lit(False)),
+    }
+
+
 def train_leaderboard(spark, folder):
-    board = training.train(learnable(spark, folder), LEARNABLE, INPUTS).leaderboard
+    # Without missing values: as the sentinel they would keep linear models from a perfect order.
+    rows = learnable(spark, folder).withColumns({"quantity": F.coalesce("quantity", F.lit(0.0)), **without_gaps()})
+    board = training.train(rows, LEARNABLE, INPUTS).leaderboard
     return board.select("model", "settings", F.round("auc", 2).alias("auc"))
 
 
