@@ -28,7 +28,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import LOWER, UPPER, keep
+from cohortloom.llm.common import keep
 from cohortloom.session import shared_folder
 
 SAMPLE_ROWS = 20_000
@@ -43,35 +43,39 @@ PRIOR = 0.5
 _NODE = re.compile(r"^( *)(If|Else) \(feature (\d+) (<=|>) (\S+)\)$")
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a text by name; all are doubles."""
-    text = F.coalesce(text, F.lit(""))
-    chars = F.length(text)
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda x: x != "")
-    n_words, n_lines = F.size(words), F.size(lines)
+def pieces(docs: DataFrame, text: str) -> DataFrame:
+    """Add the words and lines of a text, which several statistics share."""
+    value = F.coalesce(F.col(text), F.lit(""))
+    words = F.array_remove(F.split(value, r"[\x20\x09-\x0D]+"), "")
+    return docs.withColumns({"_value": value, "_words": words, "_lines": F.array_remove(F.split(value, "\n"), "")})
+
+
+def statistics() -> dict[str, Column]:
+    """Statistics of a text by name, over the columns of ``pieces``; all are doubles.
+
+    Characters are counted by patterns that seldom match, in generated code and without lambdas.
+    """
+    text, words, lines = F.col("_value"), F.col("_words"), F.col("_lines")
+    chars, n_words, n_lines = F.length(text), F.size(words), F.size(lines)
 
     def share(of: Column, whole: Column) -> Column:
         return F.when(whole > 0, of.cast("double") / whole).otherwise(0.0)
 
     def kind(characters: str) -> Column:
-        return share(chars - F.length(F.translate(text, characters, "")), chars)
+        return share(F.regexp_count(text, F.lit(characters)), chars)
 
-    same = F.size(F.filter(F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: a == b), lambda x: x))
     return {
         "log_chars": F.log1p(chars.cast("double")),
         "log_words": F.log1p(n_words.cast("double")),
         "word_chars": share(chars, n_words),
         "line_words": share(n_words, n_lines),
-        "upper": kind(UPPER),
-        "lower": kind(LOWER),
-        "digits": kind("0123456789"),
-        "stops": kind(".,;:"),
-        "marks": kind("!?"),
-        "symbols": kind("#$%&*+/<=>@\\^_`{|}~[]()"),
-        "spaces": kind(" \t"),
+        "beyond_ascii": share(F.octet_length(text) - chars, chars),
+        "upper": kind("[A-Z]"),
+        "digits": kind("[0-9]"),
+        "stops": kind("[.,;:]"),
+        "marks": kind("[!?]"),
+        "symbols": kind(r"[#$%&*+/<=>@\\^_`{|}~()\[\]-]"),
         "distinct_words": share(F.size(F.array_distinct(words)), n_words),
-        "same_as_before": share(same, n_words),
         "distinct_lines": share(F.size(F.array_distinct(lines)), n_lines),
     }
 
@@ -127,9 +131,9 @@ class RuleEnsemble:
 
     def scored(self, docs: DataFrame, text: str = "text", score: str = "score") -> DataFrame:
         """The rows with their score; all other columns stay as they are."""
-        values = F.struct(*(c.alias(n) for n, c in statistics(F.col(text)).items()))
-        inner = docs.select(F.struct("*").alias("_row"), values.alias("_stats")).select("_row", "_stats.*")
-        return inner.select("_row.*", self.score().alias(score))
+        inner = pieces(docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text")), "_text")
+        values = [c.alias(n) for n, c in statistics().items()]
+        return inner.select("_row", *values).select("_row.*", self.score().alias(score))
 
 
 def fold(key: Column) -> Column:
@@ -146,13 +150,13 @@ def fit(
 ) -> RuleEnsemble:
     """Learn rules and weights from the labelled rows outside the held-out fold."""
     shared_folder(docs.sparkSession)
-    names = list(statistics(F.lit("")))
+    names = list(statistics())
     usable = labels.filter(F.col(label).isNotNull() & (fold(F.col(id_column)) != HELD_OUT))
     one_each = usable.groupBy(F.col(id_column).alias("_id")).agg(F.min(label).cast("double").alias("label"))
     chosen = one_each.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"))
-    values = [c.alias(n) for n, c in statistics(F.col("_text")).items()]
-    rows = texts.join(F.broadcast(chosen), "_id").select("label", *values)
+    values = [c.alias(n) for n, c in statistics().items()]
+    rows = pieces(texts.join(F.broadcast(chosen), "_id"), "_text").select("label", *values)
     rows = keep(rows.repartition(docs.sparkSession.sparkContext.defaultParallelism))
     kinds = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(kinds) < 2:
