@@ -57,6 +57,37 @@ SELECT
     sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
     CAST(sum(3 + length(role) + 1 + n + 4) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
+""",
+    "op3_suffix": r"""
+WITH docs AS (
+    SELECT doc_id, encode(coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS n FROM documents
+),
+places AS (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM docs WHERE n >= 50),
+strings AS (SELECT doc_id, i, h[i + 1 : i + 50] AS s FROM places),
+firsts AS (SELECT s, min(doc_id) AS low FROM strings GROUP BY s),
+hits AS (SELECT doc_id, i FROM strings JOIN firsts USING (s) WHERE doc_id > low),
+steps AS (
+    SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, TRUE) AS fresh FROM hits
+),
+islands AS (SELECT doc_id, i, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM steps),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM islands GROUP BY doc_id, island),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+cut AS (
+    SELECT
+        doc_id,
+        CAST(sum(b - a) AS BIGINT) AS n_removed,
+        count(*) AS n_spans,
+        string_agg(hex(h[before + 1 : a]), '' ORDER BY a) AS head,
+        max(b) AS last
+    FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT
+    doc_id,
+    n AS n_bytes,
+    coalesce(n_removed, 0) AS n_removed,
+    coalesce(n_spans, 0) AS n_spans,
+    sha256(CASE WHEN last IS NULL THEN h ELSE unhex(head || hex(h[last + 1 :])) END) AS kept_sha256
+FROM docs LEFT JOIN cut USING (doc_id)
 """,
     "op4_lines": rf"""
 WITH lines AS (
