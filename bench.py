@@ -36,6 +36,11 @@ HEADLINES = (
     "latest_per_key",
     "best_run",
     "feature_importance",
+    "varimp",
+    "batch_predict",
+    "stacked_model",
+    "train_leaderboard",
+    "run_pipeline",
 )
 
 

@@ -356,9 +356,9 @@ ORACLES = {
           ('linear', '{''regParam'': 0.01, ''elasticNetParam'': 0.5}'),
           ('linear', '{''regParam'': 0.1, ''elasticNetParam'': 0.5}'),
           ('forest', '{''numTrees'': 20, ''maxDepth'': 5}'),
-          ('forest', '{''numTrees'': 50, ''maxDepth'': 8}'),
-          ('boosted', '{''maxIter'': 20, ''maxDepth'': 3}'),
-          ('boosted', '{''maxIter'': 20, ''maxDepth'': 5}'),
+          ('forest', '{''numTrees'': 40, ''maxDepth'': 6}'),
+          ('boosted', '{''maxIter'': 10, ''maxDepth'': 3}'),
+          ('boosted', '{''maxIter'': 10, ''maxDepth'': 5}'),
           ('stacked', '{''regParam'': 0.0}')) AS b(model, settings)
         WHERE (SELECT count(DISTINCT l_quantity > 25) FROM lineitem) = 2""",
     "stacked_model": """
