@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.columns import month_key, month_start
 from cohortloom.operators.ranks import buckets_below, inside_bucket, running_totals, value_cuts, with_buckets
+from cohortloom.session import shared_folder
 
 FOLD_METRICS = ("auc", "accuracy", "precision", "recall", "f1")
 
@@ -20,23 +21,23 @@ def given(value: Column, name: str) -> Column:
 
 
 def score_counts(df: DataFrame, group: Sequence[Column], score: str, label: str) -> tuple[DataFrame, list[str]]:
-    """Positives and rows per (group, bucket, score), combined on the map side.
+    """Positives and rows per (group, bucket, score).
 
-    Group keys are structs of one field ``v``: never null, so that joins on them keep a null group.
+    The input is read once, and combined on the map side; the counts are stored,
+    and cut points and buckets come from them. Group keys are structs of one field
+    ``v``: never null, so that joins on them keep a null group.
     """
+    shared_folder(df.sparkSession)
     keys = [f"g{i}" for i in range(len(group))]
     rows = df.select(
         *(F.struct(column.alias("v")).alias(key) for key, column in zip(keys, group, strict=True)),
         given(F.col(score).cast("double"), "score").alias("score"),
         given(F.col(label).cast("int"), "label").cast("int").alias("label"),
     )
-    cuts, _ = value_cuts(rows, ["score"])
-    counts = (
-        with_buckets(rows, cuts)
-        .groupBy(*keys, F.col("score_bucket").alias("bucket"), "score")
-        .agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n"))
-    )
-    return counts, keys
+    counts = rows.withColumn("score", F.col("score") + F.lit(0.0)).groupBy(*keys, "score")  # -0.0 is 0.0
+    stored = counts.agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n")).checkpoint()
+    cuts, _ = value_cuts(stored, ["score"])
+    return with_buckets(stored, cuts).withColumnRenamed("score_bucket", "bucket"), keys
 
 
 def opened(table: DataFrame, keys: Sequence[str]) -> DataFrame:
