@@ -89,7 +89,8 @@ def lookback_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     reach = {w: i for i, w in enumerate(windows)}
     # A row of a window that is not in the next longer one would be counted there: the job fails.
     nested = " ".join(
-        f"WHEN `{a}` AND NOT coalesce(`{b}`, FALSE) THEN CAST(raise_error('a row is in window {a} but not in {b}') AS INT)"
+        f"WHEN `{a}` AND NOT coalesce(`{b}`, FALSE) "
+        f"THEN CAST(raise_error('a row is in window {a} but not in {b}') AS INT)"
         for a, b in pairwise(windows)
     )
     ring = nested + " " + " ".join(f"WHEN `{w}` THEN {i}" for w, i in reach.items())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,12 +33,13 @@ def fill_sentinel(df: DataFrame, value: int = SENTINEL) -> DataFrame:
     """
     wider = {f.name: _wide_enough(f.dataType, value) for f in df.schema.fields}
     df = df.withColumns({c: F.col(c).cast(t) for c, t in wider.items() if t is not None})
-    number = {
-        f.name: F.coalesce(F.nanvl(F.col(f.name), F.lit(None)) if isinstance(f.dataType, _FLOATING) else F.col(f.name), F.lit(value).cast(f.dataType))
-        for f in df.schema.fields
-        if isinstance(f.dataType, T.NumericType)
-    }
-    return df.withColumns(number).fillna(str(value))
+
+    def filled(name: str, kind: T.DataType) -> Column:
+        column = F.nanvl(F.col(name), F.lit(None)) if isinstance(kind, _FLOATING) else F.col(name)
+        return F.coalesce(column, F.lit(value).cast(kind))
+
+    numbers = [f for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    return df.withColumns({f.name: filled(f.name, f.dataType) for f in numbers}).fillna(str(value))
 
 
 def _wide_enough(kind: T.DataType, value: int) -> T.DataType | None:

@@ -68,7 +68,8 @@ class SharedFolder:
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._files.getUri(), configuration)
         options = self._spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
         options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(self._files.makeQualified(self._path(draft)), self._files.makeQualified(self._path(path)), options)
+        source, target = (self._files.makeQualified(self._path(p)) for p in (draft, path))
+        context.rename(source, target, options)
 
 
 class StageStore:
@@ -146,7 +147,9 @@ class StageStore:
         if known is None and self.state:
             raise ValueError(f"{self.folder.path} holds stages of unknown origin; take another folder or clear it")
         if known not in (None, fingerprint):
-            raise ValueError(f"{self.folder.path} holds stages of another table, spec or options; take another folder or clear it")
+            raise ValueError(
+                f"{self.folder.path} holds stages of another table, spec or options; take another folder or clear it"
+            )
         if known is None:
             self.state[FINGERPRINT] = {"kind": "value", "value": fingerprint}
             self._write_state()

@@ -426,7 +426,11 @@ def learnable(spark: SparkSession, folder: str) -> DataFrame:
         F.when(line == 3, F.lit(float("nan"))).when(line != 4, F.col("l_discount")).alias("discount"),
         F.when(line != 5, F.col("l_tax")).alias("tax"),
         F.when(line != 6, F.col("l_returnflag") == "R").alias("returned"),
-        F.when(line == 1, "").when(line == 2, 'a "b"\nc').when(line == 3, "x,\r\ny").when(line != 4, F.col("l_returnflag")).alias("note"),
+        F.when(line == 1, "")
+        .when(line == 2, 'a "b"\nc')
+        .when(line == 3, "x,\r\ny")
+        .when(line != 4, F.col("l_returnflag"))
+        .alias("note"),
     )
 
 
