@@ -80,8 +80,8 @@ def root_paths(messages: DataFrame) -> DataFrame:
     paths = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("bigint").alias("up"))
     for k in reversed(range(len(steps))):
         further = steps[k].select("tree", "node", F.col("up").alias("top"))
-        more = paths.join(further, ["tree", "node"]).select("tree", "leaf", F.col("top").alias("node"), F.col("up") + (1 << k))
-        paths = keep(paths.unionAll(more))
+        above = paths.join(further, ["tree", "node"])
+        paths = keep(paths.unionAll(above.select("tree", "leaf", F.col("top").alias("node"), F.col("up") + (1 << k))))
     return paths
 
 
@@ -108,17 +108,20 @@ def format_trees(messages: DataFrame, tree: str, branches: int | None = None) ->
     chosen = ranked.filter(F.col("branch") <= branches) if branches is not None else ranked
     head = F.concat(F.lit("<s>"), escaped_role(F.col("role")), F.lit("\n"))
     body = escaped(F.col("text"))
-    turns = rows.select("tree", "name", "node", (F.col("role") == ASSISTANT).alias("learned"), head.alias("head"), body.alias("body"))
-    placed = paths.drop("score").join(chosen.select("tree", "leaf", "branch"), ["tree", "leaf"]).join(turns, ["tree", "node"])
+    learned = F.col("role") == ASSISTANT
+    turns = rows.select("tree", "name", "node", learned.alias("learned"), head.alias("head"), body.alias("body"))
+    chosen = chosen.select("tree", "leaf", "branch")
+    placed = paths.drop("score").join(chosen, ["tree", "leaf"]).join(turns, ["tree", "node"])
     size = F.length("head") + F.length("body") + 4
     before = Window.partitionBy("tree", "leaf").orderBy(F.col("up").desc()).rowsBetween(Window.unboundedPreceding, -1)
     at = F.coalesce(F.sum(size).over(before), F.lit(0)) + F.length("head")
+    span = F.struct(at.alias("start"), F.length("body").cast("bigint").alias("length"))
     parts = placed.select(
         "tree", "name", "leaf", "branch",
         F.struct(
             (-F.col("up")).alias("place"),
             F.concat("head", "body", F.lit("</s>")).alias("turn"),
-            F.when(F.col("learned"), F.struct(at.alias("start"), F.length("body").cast("bigint").alias("length"))).alias("span"),
+            F.when(F.col("learned"), span).alias("span"),
         ).alias("part"),
     )
     ordered = F.sort_array(F.collect_list("part"))
@@ -147,4 +150,8 @@ def read_turns(formatted: Column) -> Column:
 
 def read_loss(formatted: Column, spans: Column) -> Column:
     """All text under the loss mask, unescaped."""
-    return F.array_join(F.transform(spans, lambda s: unescaped(F.substr(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
+
+    def learned(span: Column) -> Column:
+        return unescaped(F.substr(formatted, (span["start"] + 1).cast("int"), span["length"].cast("int")))
+
+    return F.array_join(F.transform(spans, learned), "")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import filter_bits, in_filter, keep
+from cohortloom.llm.common import filter_bits, in_filter, keep, numbered
 
 #: Fixed values of the boundary rule: lines in the rolling hash, its base and modulus, and lines per boundary.
 ROLLING_LINES = 3
@@ -86,7 +86,7 @@ def _chunk_batches(bits):
 
 def repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per removed chunk: its document and place, and the document and chunk that stay."""
-    slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"))
+    slim = numbered(docs, id_column, text)
     schema = _CHUNKS.format(kind=slim.schema["id"].dataType.simpleString())
     codes = slim.mapInArrow(_chunk_batches(None), schema).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
     bits = docs.sparkSession.sparkContext.broadcast(filter_bits(codes.filter("n > 1"), "hash"))

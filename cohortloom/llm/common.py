@@ -31,6 +31,12 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def numbered(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """``row, id, text`` of every document; the row number tells apart those that repeat an id."""
+    row = F.monotonically_increasing_id()
+    return docs.select(row.alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"))
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if a stored table is counted as small; otherwise leave the join to its shuffle."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import filter_bits, in_filter, keep, slices, without
+from cohortloom.llm.common import filter_bits, in_filter, keep, numbered, slices, without
 from cohortloom.llm.words import LOWER, gram_hashes, hashed_words
 
 WINDOW_WORDS = 10
@@ -86,7 +86,8 @@ def _fingerprints(sizes: list[int], bits, own: bool):
                 a, b = max(int(edge[r]), p - (size - k)), min(int(edge[r + 1]), p + size)
                 low = LOWER[data[starts[a] : ends[b - 1]]].tobytes()
                 base = int(starts[a])
-                words = [low[s - base : e - base] for s, e in zip(starts[a:b].tolist(), ends[a:b].tolist(), strict=True)]
+                edges = zip(starts[a:b].tolist(), ends[a:b].tolist(), strict=True)
+                words = [low[s - base : e - base] for s, e in edges]
                 rows.append(r)
                 size_of.append(size)
                 first_of.append(a - int(edge[r]))
@@ -112,7 +113,7 @@ def _fingerprints(sizes: list[int], bits, own: bool):
 
 
 def _mapped(df: DataFrame, id_column: str, text: str, sizes: list[int], bits=None, own: bool = False) -> DataFrame:
-    slim = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"))
+    slim = numbered(df, id_column, text)
     kind = slim.schema["id"].dataType.simpleString()
     return keep(slim.mapInArrow(_fingerprints(sizes, bits, own), _SCHEMA.format(kind=kind)))
 
@@ -120,7 +121,8 @@ def _mapped(df: DataFrame, id_column: str, text: str, sizes: list[int], bits=Non
 def _windows(prints: DataFrame, *columns: Column | str) -> DataFrame:
     """Extend each fingerprint to all windows around it: their first word and text."""
     words = F.split("context", " ")
-    spread = prints.select("*", F.posexplode(F.sequence(F.lit(0), F.size(words) - F.col("size"))).alias("_", "_step"))
+    steps = F.sequence(F.lit(0), F.size(words) - F.col("size"))
+    spread = prints.select("*", F.explode(steps).alias("_step"))
     text = F.array_join(F.slice(words, F.col("_step") + 1, F.col("size")), " ")
     return spread.select(*columns, "size", (F.col("first") + F.col("_step")).alias("start"), text.alias("window"))
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import keep
+from cohortloom.llm.common import keep, numbered
 
 MIN_WORDS = 5
 _BLANK = re.compile(r"\n(?:[ \t]*\n)+")
@@ -81,7 +81,7 @@ def repeated_units(
     min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """One row per removed unit: its document, place and digest, and the document and unit that stay."""
-    slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"))
+    slim = numbered(docs, id_column, text)
     kind = slim.schema["id"].dataType.simpleString()
     rows = keep(slim.mapInArrow(_unit_batches(paragraphs, min_words), _UNITS.format(kind=kind)))
     rank = F.struct(F.col("id").isNull().alias("last"), "id", "row", "unit")
@@ -110,8 +110,7 @@ def cut_spans(docs: DataFrame, spans: DataFrame, id_column: str = "doc_id", text
     grouped = spans.groupBy(id_column).agg(ordered.alias("_spans"))
     begin = "CASE WHEN i = 0 THEN 0 ELSE _spans[i - 1].end + 1 END"
     stop = f"CASE WHEN i = size(_spans) THEN length({text}) ELSE _spans[i].start END"
-    pieces = F.expr(
-        f"array_join(transform(sequence(0, size(_spans)), i -> substring({text}, {begin} + 1, greatest(0, {stop} - ({begin})))), '')"
-    )
-    joined = docs.join(grouped, id_column, "left")
-    return joined.withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(pieces)).select(*docs.columns)
+    piece = f"substring({text}, {begin} + 1, greatest(0, {stop} - ({begin})))"
+    kept = F.expr(f"array_join(transform(sequence(0, size(_spans)), i -> {piece}), '')")
+    whole = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(kept)
+    return docs.join(grouped, id_column, "left").withColumn(text, whole).select(*docs.columns)

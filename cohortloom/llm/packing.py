@@ -35,7 +35,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import keep
+from cohortloom.llm.common import keep, numbered
 
 CAPACITY = 1024
 END_ID = 2
@@ -154,7 +154,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: its document, place in it, CRC of its ids, and its sequence and place there."""
     path = path or public_tokenizers.path(RANKS)
-    slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"))
+    slim = numbered(docs, id_column, text)
     kind = slim.schema["id"].dataType.simpleString()
     pieces = keep(slim.mapInArrow(_piece_batches(path, capacity), _PIECES.format(kind=kind)))
     short = F.col("length") < capacity

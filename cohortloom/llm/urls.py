@@ -71,19 +71,21 @@ def gram_scores(grams: DataFrame) -> DataFrame:
     scored = grams.select("gram", F.lit(1.0 / ALPHABET).alias("p_good"), F.lit(1.0 / ALPHABET).alias("p_bad"))
     for k in range(CONTEXT + 1):
         run = F.substring("gram", CONTEXT + 1 - k, k + 1)
-        seen = _counted(grams, run).withColumnsRenamed({"key": "run", "n_good": "run_good", "n_bad": "run_bad"})
+        seen = _counted(grams, run)
+        seen = seen.withColumnsRenamed({"key": "run", "n_good": "run_good", "n_bad": "run_bad"})
         scored = scored.withColumn("run", run).join(seen, "run")
         if k:
             # Contexts are counted from the runs, which are fewer than the grams.
             context = F.substring("run", 1, k)
-            behind = _counted(seen.select("run", F.col("run_good").alias("good"), F.col("run_bad").alias("bad")), context)
+            runs = seen.withColumnsRenamed({"run_good": "good", "run_bad": "bad"})
+            behind = _counted(runs, context)
             scored = scored.withColumn("key", context).join(behind, "key").drop("key")
         else:
             scored = scored.withColumns({f"n_{c}": F.lit(totals[c] or 0) for c in ("good", "bad")})
-        scored = scored.select(
-            "gram",
-            *(((F.col(f"run_{c}") + WEIGHT * F.col(f"p_{c}")) / (F.col(f"n_{c}") + WEIGHT)).alias(f"p_{c}") for c in ("good", "bad")),
-        )
+        mixed = {
+            c: (F.col(f"run_{c}") + WEIGHT * F.col(f"p_{c}")) / (F.col(f"n_{c}") + WEIGHT) for c in ("good", "bad")
+        }
+        scored = scored.select("gram", *(value.alias(f"p_{c}") for c, value in mixed.items()))
     return scored.select("gram", (F.log("p_good") - F.log("p_bad")).alias("score"))
 
 
@@ -112,7 +114,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule], id_column: str = "page_id", u
     """One row per page: its id, ``host, path, rule, verdict, score`` (null where a rule decides)."""
     host, path = host_and_path("url")
     slim = pages.select(F.col(id_column).alias("id"), F.col(url).alias("url"))
-    base = slim.select("id", host.alias("host"), path.alias("path")).withColumn("found", matching_rule("host", "path", rules))
+    base = slim.select("id", host.alias("host"), path.alias("path"))
+    base = base.withColumn("found", matching_rule("host", "path", rules))
     base = keep(
         base.select(
             F.monotonically_increasing_id().alias("row"),
