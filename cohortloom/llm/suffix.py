@@ -35,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,13 +48,20 @@ GRAM = 24
 WIDTH = SPAN - GRAM + 1
 SHALLOW = 16
 STEP = 4
-SEGMENT = 1 << 18
-#: Bits of the filters that tasks get, at most 32 MB each, whatever the corpus.
-SHARED_BITS = 1 << 28
+#: Bytes taken at a time; below 2^20, which the place of an anchor in its segment is held in.
+SEGMENT = 1 << 16
+#: Bits of the filters that tasks get, at most 16 MB each, whatever the corpus; fewer for few hashes.
+SHARED_BITS = 1 << 27
+LEAST_BITS = 1 << 20
+BITS_PER_HASH = 16
 #: Rows a task gathers before it settles them, and contexts of an anchor from which it is split.
 GATHER = 1 << 21
 HOT_CONTEXTS = 2_000
 _LAST = np.iinfo(np.int64).max
+_LOWER = np.uint64((1 << 20) - 1)
+_UPPER = ~_LOWER
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_PLACES = _LOWER - np.arange(SEGMENT + SPAN, dtype=np.uint64)
 
 
 def anchors(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -68,30 +76,33 @@ def anchors(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, ...]
         n = len(part) - SPAN + 1
         up, down = _Powers.upto(len(part))
         sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=sums[1:])
-        grams = mixed((sums[GRAM:] - sums[:-GRAM]) * down[: len(part) - GRAM + 1])
-        low, place = grams, np.arange(len(grams), dtype=np.int32)
+        np.cumsum(part * up[: len(part)], out=sums[1:])
+        grams = (sums[GRAM:] - sums[:-GRAM]) * down[: len(part) - GRAM + 1]
+        # The upper bits of a product decide, then the place, the last one first.
+        low = grams * _SPREAD
+        low &= _UPPER
+        low |= _PLACES[: len(grams)]
         wide = 1
         while wide < WIDTH:
             step = min(wide, WIDTH - wide)
-            right = low[step:] <= low[:-step]
-            low, place = np.where(right, low[step:], low[:-step]), np.where(right, place[step:], place[:-step])
+            low = np.minimum(low[step:], low[:-step])
             wide += step
-        whole = np.arange(begin, begin + n) + SPAN <= ends[begin : begin + n]
-        place = np.where(whole, place, -1)
-        edge = np.nonzero(np.concatenate(([True], place[1:] != place[:-1])))[0]
+        place = _LOWER - (low & _LOWER)
+        place[np.arange(begin + SPAN, begin + SPAN + n) > ends[begin : begin + n]] = _LOWER
+        edge = np.nonzero(place[1:] != place[:-1])[0] + 1
+        edge = np.concatenate((np.zeros(1, np.int64), edge))
         last = np.concatenate((edge[1:], [n])) - 1
-        real = place[edge] >= 0
+        real = place[edge] != _LOWER
         first, last = edge[real], last[real]
-        p = place[first]
+        p = place[first].astype(np.int64)
         context = (sums[last + SPAN] - sums[first]) * down[first]
         context = mixed(context ^ ((p - first).astype(np.uint64) << np.uint64(56)) ^ ((last - first).astype(np.uint64) << np.uint64(48)))
         row = np.searchsorted(at, first + begin, "right") - 1
-        yield row, grams[p], first + begin, last + begin, context
+        yield row, mixed(grams[p]), first + begin, last + begin, context
 
 
 def _marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64(SHARED_BITS - 1)
+    place = hashes & np.uint64(8 * len(bits) - 1)
     return (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
@@ -108,6 +119,10 @@ def _buckets(spark: SparkSession) -> int:
     return min(1 << (4 * shuffle_width(spark) - 1).bit_length(), SHARED_BITS >> 3)
 
 
+#: Bytes of a hash that are compared to find those that occur twice; the filter may pass more than those.
+_KEPT = 6
+
+
 def _gathered_hashes(buckets: int):
     """Map texts to blobs of anchor hashes by bucket; a hash seen again in the task is there twice."""
     shift = np.uint64((SHARED_BITS // buckets).bit_length() - 1)
@@ -132,7 +147,8 @@ def _gathered_hashes(buckets: int):
         order = np.argsort(bucket, kind="stable")
         values, bucket = values[order], bucket[order]
         edge = np.nonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))[0]
-        parts = [values[a:b].tobytes() for a, b in zip(edge, [*edge[1:], len(values)], strict=True)]
+        octets = values.view(np.uint8).reshape(-1, 8)[:, :_KEPT]
+        parts = [octets[a:b].tobytes() for a, b in zip(edge, [*edge[1:], len(values)], strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(bucket[edge], pa.int32()), pa.array(parts, pa.binary())], ["bucket", "blob"])
 
     return run
@@ -143,7 +159,10 @@ def _shared_bits(buckets: int):
     width = SHARED_BITS // buckets
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        values = np.sort(np.concatenate([np.frombuffer(b.as_buffer(), np.uint64) for b in table["blob"]]))
+        octets = np.concatenate([np.frombuffer(b.as_buffer(), np.uint8).reshape(-1, _KEPT) for b in table["blob"]])
+        values = np.zeros((len(octets), 8), np.uint8)
+        values[:, :_KEPT] = octets
+        values = np.sort(values.view(np.uint64)[:, 0])
         again = np.unique(values[1:][values[1:] == values[:-1]])
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([_packed(again, width)], pa.binary())})
 
@@ -156,25 +175,28 @@ def _packed(hashes: np.ndarray, width: int) -> bytes:
     return np.packbits(flags, bitorder="little").tobytes()
 
 
-def _collected(parts: DataFrame, buckets: int) -> np.ndarray:
-    """A filter from its parts: ``SHARED_BITS / 8`` bytes on the driver at most."""
-    found = np.zeros((buckets, SHARED_BITS // buckets // 8), np.uint8)
-    for row in parts.toLocalIterator():
+def _collected(parts: DataFrame, buckets: int, bits: int) -> np.ndarray:
+    """A filter from its parts; ``bits / 8`` bytes come to the driver."""
+    found = np.zeros((buckets, bits // buckets // 8), np.uint8)
+    for row in parts.collect():
         found[row["bucket"]] = np.frombuffer(bytes(row["bits"]), np.uint8)
     return found.reshape(-1)
 
 
-def _filter_of(hashes: DataFrame, buckets: int) -> np.ndarray:
-    """A filter of the hashes in a table."""
-    width = SHARED_BITS // buckets
-    place = F.col("hash").bitwiseAND(F.lit(SHARED_BITS - 1))
+def _filter_of(hashes: DataFrame) -> np.ndarray:
+    """A filter of the hashes in a stored table, sized by their number up to a fixed bound."""
+    n = hashes.count()
+    bits = min(SHARED_BITS, max(LEAST_BITS, 1 << (BITS_PER_HASH * n).bit_length()))
+    buckets = bits >> 17
+    width = bits // buckets
+    place = F.col("hash").bitwiseAND(F.lit(bits - 1))
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         values = table["hash"].to_numpy().view(np.uint64)
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([_packed(values, width)], pa.binary())})
 
     rows = hashes.select("hash", F.floor(place / width).cast("int").alias("bucket")).distinct()
-    return _collected(rows.groupBy("bucket").applyInArrow(run, "bucket int, bits binary"), buckets)
+    return _collected(rows.groupBy("bucket").applyInArrow(run, "bucket int, bits binary"), buckets, bits)
 
 
 def _first_of_class(rank: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,15 +216,17 @@ _ROWS = ", ".join(f"{name} bigint" for name in _FIELDS)
 
 
 def _settled(table: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """Rows that are not their context's first become spans; the rest stay anchors."""
+    """Rows that are not their context's first become spans (no context, dealt by place); the rest stay anchors."""
     order, first = _first_of_class(table["rank"], table["hash"], table["context"])
     table = {k: v[order] for k, v in table.items()}
     spans = _merged(table["rank"][~first], table["doc"][~first], table["start"][~first], table["stop"][~first] + SPAN)
-    open_ = {k: v[first].astype(np.int64) if v.dtype != np.uint64 else v[first].view(np.int64) for k, v in table.items()}
-    both = {k: pa.array(open_[k]) for k in _FIELDS}
-    n = len(spans[0])
-    done = dict(zip(("rank", "doc", "start", "stop"), spans, strict=True))
-    arrays = [pa.concat_arrays([both[k], pa.array(done[k]) if k in done else pa.nulls(n, pa.int64())]) for k in _FIELDS]
+    deal = mixed(spans[1].view(np.uint64) ^ spans[2].view(np.uint64)).view(np.int64)
+    done = dict(zip(("hash", "rank", "doc", "start", "stop"), (deal, *spans), strict=True))
+    arrays = []
+    for name in _FIELDS:
+        open_ = table[name][first]
+        open_ = pa.array(open_.view(np.int64) if open_.dtype == np.uint64 else open_.astype(np.int64))
+        arrays.append(pa.concat_arrays([open_, pa.array(done[name]) if name in done else pa.nulls(len(deal), pa.int64())]))
     return pa.RecordBatch.from_arrays(arrays, list(_FIELDS))
 
 
@@ -272,34 +296,54 @@ def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield rest
 
 
+_SPANS = "rank bigint, doc bigint, starts array<int>, stops array<int>"
+_JUDGED = f"hash bigint, n bigint, {_SPANS}"
+
+
+def _listed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """Gathered spans as one row for each document."""
+    rank, doc, start, stop = _merged(*(np.concatenate(x) for x in zip(*held, strict=True)))
+    edge = np.nonzero(np.concatenate((np.ones(min(1, len(rank)), bool), (rank[1:] != rank[:-1]) | (doc[1:] != doc[:-1]))))[0]
+    at = pa.array(np.concatenate((edge, [len(rank)])).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(at, pa.array(x.astype(np.int32))) for x in (start, stop)]
+    return pa.RecordBatch.from_arrays([pa.array(rank[edge]), pa.array(doc[edge]), *lists], ["rank", "doc", "starts", "stops"])
+
+
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of contexts that are not their first, and the contested anchors with their number of contexts.
+    """Spans of contexts that are not their first, and the contested anchors with their number of contexts."""
 
-    A contested anchor is a row with a hash, its number in ``start`` and no rank.
-    """
+    def spans(held: list[tuple]) -> pa.RecordBatch:
+        rows = _listed(held)
+        none = pa.nulls(rows.num_rows, pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, *rows.columns], ["hash", "n", *rows.schema.names])
+
+    held, gathered = [], 0
     for table in _by_key(batches, "hash"):
-        columns = {f: table[f].to_numpy() for f in _FIELDS}
-        order, first = _first_of_class(columns["rank"], columns["hash"], columns["context"])
-        columns = {k: v[order] for k, v in columns.items()}
-        spans = _merged(*(columns[k][~first] for k in ("rank", "doc", "start")), columns["stop"][~first] + SPAN)
-        hashes, contexts, rank = (columns[k][first] for k in ("hash", "context", "rank"))
-        edge = np.nonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))[0]
-        size = np.diff([*edge, len(hashes)])
-        several = np.minimum.reduceat(contexts, edge) != np.maximum.reduceat(contexts, edge)
-        several &= np.minimum.reduceat(rank, edge) != np.maximum.reduceat(rank, edge)
-        n, m = int(several.sum()), len(spans[0])
-        missing, gone = pa.nulls(n, pa.int64()), pa.nulls(m, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.concat_arrays([pa.array(hashes[edge][several]), gone]),
-                pa.nulls(n + m, pa.int64()),
-                pa.concat_arrays([missing, pa.array(spans[0])]),
-                pa.concat_arrays([missing, pa.array(spans[1])]),
-                pa.concat_arrays([pa.array(size[several]), pa.array(spans[2])]),
-                pa.concat_arrays([missing, pa.array(spans[3])]),
-            ],
-            list(_FIELDS),
-        )
+        done = table.filter(table["context"].is_null())
+        held.append(tuple(done[f].to_numpy() for f in ("rank", "doc", "start", "stop")))
+        table = table.filter(table["context"].is_valid())
+        if table.num_rows:
+            columns = {f: table[f].to_numpy() for f in _FIELDS}
+            order, first = _first_of_class(columns["rank"], columns["hash"], columns["context"])
+            columns = {k: v[order] for k, v in columns.items()}
+            held.append((*(columns[k][~first] for k in ("rank", "doc", "start")), columns["stop"][~first] + SPAN))
+            hashes, contexts, rank = (columns[k][first] for k in ("hash", "context", "rank"))
+            edge = np.nonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))[0]
+            size = np.diff([*edge, len(hashes)])
+            several = np.minimum.reduceat(contexts, edge) != np.maximum.reduceat(contexts, edge)
+            several &= np.minimum.reduceat(rank, edge) != np.maximum.reduceat(rank, edge)
+            n = int(several.sum())
+            none, lists = pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes[edge][several]), pa.array(size[several]), none, none, lists, lists],
+                ["hash", "n", "rank", "doc", "starts", "stops"],
+            )
+        gathered += sum(len(x[0]) for x in held[-2:])
+        if gathered > GATHER:
+            yield spans(held)
+            held, gathered = [], 0
+    if gathered:
+        yield spans(held)
 
 
 _CONTEXTS = "key bigint, rank bigint, doc bigint, start bigint, stop bigint, bytes binary"
@@ -460,60 +504,70 @@ def contested_hits(ranks: list[int], pieces: list[bytes]) -> Iterator[tuple[int,
 
 
 def _sorted_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, gathered = [], 0
     for table in _by_key(batches, "key"):
-        done = table.filter(table["bytes"].is_null()).combine_chunks().select(["rank", "doc", "start", "stop"])
-        yield from done.to_batches()
+        done = table.filter(table["bytes"].is_null())
+        held.append(tuple(done[f].to_numpy() for f in ("rank", "doc", "start", "stop")))
+        gathered += done.num_rows
         table = table.filter(table["bytes"].is_valid())
-        if not table.num_rows:
-            continue
-        key, rank, doc, start = (table[f].to_numpy() for f in ("key", "rank", "doc", "start"))
-        pieces = table["bytes"].to_pylist()
-        edge = np.nonzero(np.concatenate(([True], key[1:] != key[:-1])))[0].tolist()
-        found: list[tuple[int, int]] = []
-        ranks = rank.tolist()
-        for a, b in zip(edge, [*edge[1:], len(key)], strict=True):
-            if min(ranks[a:b]) != max(ranks[a:b]):
-                found += [(a + i, s) for i, s in contested_hits(ranks[a:b], pieces[a:b])]
-        at = np.array([i for i, _ in found], np.int64)
-        begin = start[at] + np.array([s for _, s in found], np.int64)
-        spans = _merged(rank[at], doc[at], begin, begin + SPAN)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in spans], ["rank", "doc", "start", "stop"])
-
-
-_SPANS = "rank bigint, doc bigint, start bigint, stop bigint"
+        if table.num_rows:
+            key, rank, doc, start = (table[f].to_numpy() for f in ("key", "rank", "doc", "start"))
+            pieces = table["bytes"].to_pylist()
+            edge = np.nonzero(np.concatenate(([True], key[1:] != key[:-1])))[0].tolist()
+            found: list[tuple[int, int]] = []
+            ranks = rank.tolist()
+            for a, b in zip(edge, [*edge[1:], len(key)], strict=True):
+                if min(ranks[a:b]) != max(ranks[a:b]):
+                    found += [(a + i, s) for i, s in contested_hits(ranks[a:b], pieces[a:b])]
+            at = np.array([i for i, _ in found], np.int64)
+            begin = start[at] + np.array([s for _, s in found], np.int64)
+            held.append(_merged(rank[at], doc[at], begin, begin + SPAN))
+            gathered += len(held[-1][0])
+        if gathered > GATHER:
+            yield _listed(held)
+            held, gathered = [], 0
+    if gathered:
+        yield _listed(held)
 
 
 def removed_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """Spans of bytes to remove, possibly overlapping: ``rank`` (the id), ``doc`` (content hash), ``start, stop``."""
+    """Stored spans of bytes to remove by document: ``rank`` (the id), ``doc`` (content hash), ``starts, stops``.
+
+    Spans of one document may overlap.
+    """
     spark = docs.sparkSession
     context, width, buckets = spark.sparkContext, shuffle_width(spark), _buckets(spark)
     slim = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     blobs = slim.mapInArrow(_gathered_hashes(buckets), "bucket int, blob binary")
     parts = blobs.groupBy("bucket").applyInArrow(_shared_bits(buckets), "bucket int, bits binary")
-    shared = context.broadcast(_collected(parts, buckets))
-    found = keep(slim.mapInArrow(_shared_anchors(shared), _ROWS))
-    open_ = found.filter("hash IS NOT NULL").repartition(width, "hash").sortWithinPartitions("hash")
-    judged = keep(open_.mapInArrow(_judged, _ROWS))
+    shared = context.broadcast(_collected(parts, buckets, SHARED_BITS))
+    found = slim.mapInArrow(_shared_anchors(shared), _ROWS)
+    judged = keep(found.repartition(width, "hash").sortWithinPartitions("hash").mapInArrow(_judged, _JUDGED))
+    shared.unpersist()
     contested = judged.filter("hash IS NOT NULL")
-    bits = context.broadcast(_filter_of(contested, buckets))
-    hot = context.broadcast(_filter_of(contested.filter(F.col("start") > HOT_CONTEXTS), buckets))
+    bits = context.broadcast(_filter_of(contested))
+    hot = context.broadcast(_filter_of(contested.filter(F.col("n") > HOT_CONTEXTS)))
     texts = slim.mapInArrow(_contested_contexts(bits, hot), _CONTEXTS)
     hits = texts.repartition(width, "key").sortWithinPartitions("key").mapInArrow(_sorted_contexts, _SPANS)
-    settled = [x.filter("hash IS NULL").select("rank", "doc", "start", "stop") for x in (found, judged)]
-    return settled[0].unionAll(settled[1]).unionAll(hits)
+    both = judged.filter("hash IS NULL").select("rank", "doc", "starts", "stops").unionAll(hits)
+    whole = {name: F.flatten(F.collect_list(name)).alias(name) for name in ("starts", "stops")}
+    spans = keep(both.groupBy("rank", "doc").agg(*whole.values()))
+    bits.unpersist()
+    return spans
 
 
 def _prepared(bits):
-    """Map (id, text) to id, rank, content hash, size, and the text's digest, or its text if it may have spans."""
+    """Map (id, text) to id, rank, content hash, size, and the text's digest, or its packed text if it may have spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             rank = _ranks(batch.column(0))
             for first, last, data, at in slices(batch.column(1)):
                 cut = list(zip(at[:-1], at[1:], strict=True))
                 doc = np.array([_content(data[a:b]) for a, b in cut], np.int64)
                 some = _marked(bits.value, mixed(doc.view(np.uint64)))
-                texts = [data[a:b].tobytes() if s else None for (a, b), s in zip(cut, some, strict=True)]
+                texts = [packer.compress(data[a:b]) if s else None for (a, b), s in zip(cut, some, strict=True)]
                 whole = [None if s else hashlib.sha256(data[a:b]).hexdigest() for (a, b), s in zip(cut, some, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, last - first), pa.array(rank[first:last]), pa.array(doc), pa.array(np.diff(at)), pa.array(whole, pa.string()), pa.array(texts, pa.binary())],
@@ -524,12 +578,13 @@ def _prepared(bits):
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpacker = zstandard.ZstdDecompressor()
     for batch in batches:
         removed, spans, digests = [], [], []
         for text, begins, stops in zip(batch["bytes"], batch["starts"], batch["stops"], strict=True):
-            data = text.as_buffer()
-            begin = np.asarray(begins.values) if begins.is_valid else np.zeros(0, np.int64)
-            stop = np.asarray(stops.values) if stops.is_valid else np.zeros(0, np.int64)
+            data = unpacker.decompress(text.as_buffer())
+            begin = np.asarray(begins.values, np.int64) if begins.is_valid else np.zeros(0, np.int64)
+            stop = np.asarray(stops.values, np.int64) if stops.is_valid else np.zeros(0, np.int64)
             zero = np.zeros(len(begin), np.int64)
             _, _, begin, stop = _merged(zero, zero, begin, stop)
             digest, at = hashlib.sha256(), 0
@@ -551,14 +606,10 @@ def suffix_dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
 
     Texts that have no spans stay where they are; the others meet their spans in one shuffle.
     """
-    spark = docs.sparkSession
     slim = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     kind = slim.schema["id"].dataType.simpleString()
-    pairs = F.struct("start", "stop")
-    grouped = removed_spans(docs, id_column, text).groupBy("rank", "doc").agg(F.collect_list(pairs).alias("spans"))
-    grouped = keep(grouped.select("rank", "doc", F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops")))
-    keys = grouped.select("doc").mapInArrow(_mixed_keys, "hash bigint")
-    bits = spark.sparkContext.broadcast(_filter_of(keys, _buckets(spark)))
+    grouped = removed_spans(docs, id_column, text)
+    bits = docs.sparkSession.sparkContext.broadcast(_filter_of(grouped.select("doc").mapInArrow(_mixed_keys, "hash bigint")))
     schema = f"id {kind}, rank bigint, doc bigint, n_bytes bigint, digest string, bytes binary"
     rows = slim.mapInArrow(_prepared(bits), schema)
     cut = rows.filter("bytes IS NOT NULL").join(grouped, ["rank", "doc"], "left").select("id", "n_bytes", "bytes", "starts", "stops")

@@ -55,7 +55,7 @@ def found(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize(("seed", "segment", "gather", "hot"), [(1, 1 << 18, 1 << 21, 2000), (2, 64, 1 << 21, 2000), (3, 1 << 18, 64, 1), (4, 333, 16, 0)])
+@pytest.mark.parametrize(("seed", "segment", "gather", "hot"), [(1, suffix.SEGMENT, 1 << 21, 2000), (2, 64, 1 << 21, 2000), (3, suffix.SEGMENT, 64, 1), (4, 333, 16, 0)])
 def test_against_all_strings(monkeypatch, documents, seed, segment, gather, hot):
     for name, value in (("SEGMENT", segment), ("GATHER", gather), ("HOT_CONTEXTS", hot)):
         monkeypatch.setattr(suffix, name, value)
