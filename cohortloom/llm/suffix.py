@@ -53,7 +53,7 @@ SEGMENT = 1 << 16
 #: Bits of the filters that tasks get, at most 16 MB each, whatever the corpus; fewer for few hashes.
 SHARED_BITS = 1 << 27
 LEAST_BITS = 1 << 20
-BITS_PER_HASH = 16
+BITS_PER_HASH = 64
 #: Rows a task gathers before it settles them, and contexts of an anchor from which it is split.
 GATHER = 1 << 21
 HOT_CONTEXTS = 2_000
@@ -517,8 +517,16 @@ def _sorted_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             found: list[tuple[int, int]] = []
             ranks = rank.tolist()
             for a, b in zip(edge, [*edge[1:], len(key)], strict=True):
-                if min(ranks[a:b]) != max(ranks[a:b]):
-                    found += [(a + i, s) for i, s in contested_hits(ranks[a:b], pieces[a:b])]
+                # Equal contexts were settled before; single strings are settled here.
+                least: dict[bytes, int] = {}
+                for i in range(a, b):
+                    known = least.get(pieces[i])
+                    least[pieces[i]] = ranks[i] if known is None else min(known, ranks[i])
+                own = [i for i in range(a, b) if ranks[i] == least[pieces[i]]]
+                if len(own) < b - a:
+                    found += [(i, 0) for i in range(a, b) if len(pieces[i]) == SPAN and ranks[i] > least[pieces[i]]]
+                if len(least) > 1 and len({ranks[i] for i in own}) > 1:
+                    found += [(own[i], s) for i, s in contested_hits([ranks[i] for i in own], [pieces[i] for i in own])]
             at = np.array([i for i, _ in found], np.int64)
             begin = start[at] + np.array([s for _, s in found], np.int64)
             held.append(_merged(rank[at], doc[at], begin, begin + SPAN))
