@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -43,19 +44,25 @@ PRIOR = 0.5
 _NODE = re.compile(r"^( *)(If|Else) \(feature (\d+) (<=|>) (\S+)\)$")
 
 
-def pieces(docs: DataFrame, text: str) -> DataFrame:
-    """Add the words and lines of a text, which several statistics share."""
-    value = F.coalesce(F.col(text), F.lit(""))
+def pieces(text: Column) -> Column:
+    """The text, its words and its lines as a struct; several statistics share them."""
+    value = F.coalesce(text, F.lit(""))
     words = F.array_remove(F.split(value, r"[\x20\x09-\x0D]+"), "")
-    return docs.withColumns({"_value": value, "_words": words, "_lines": F.array_remove(F.split(value, "\n"), "")})
+    lines = F.array_remove(F.split(value, "\n"), "")
+    return F.struct(value.alias("value"), words.alias("words"), lines.alias("lines"))
 
 
-def statistics() -> dict[str, Column]:
-    """Statistics of a text by name, over the columns of ``pieces``; all are doubles.
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate a value once for an expression that refers to it often, also where the optimizer moves it."""
+    return F.transform(F.array(value), use)[0]
 
-    Characters are counted by patterns that seldom match, in generated code and without lambdas.
+
+def statistics(parts: Column) -> dict[str, Column]:
+    """Statistics of a text by name, from its ``pieces``; all are doubles.
+
+    Characters are counted by patterns that seldom match.
     """
-    text, words, lines = F.col("_value"), F.col("_words"), F.col("_lines")
+    text, words, lines = parts["value"], parts["words"], parts["lines"]
     chars, n_words, n_lines = F.length(text), F.size(words), F.size(lines)
 
     def share(of: Column, whole: Column) -> Column:
@@ -80,20 +87,26 @@ def statistics() -> dict[str, Column]:
     }
 
 
+def measured(text: Column) -> Column:
+    """All statistics of a text as a struct."""
+    return once(pieces(text), lambda p: F.struct(*(c.alias(n) for n, c in statistics(p).items())))
+
+
 @dataclass(frozen=True)
 class Rule:
     """Ranges of statistics, each above its first and up to its second number."""
 
     ranges: tuple[tuple[int, float, float], ...]
 
-    def column(self, names: list[str]) -> Column:
+    def column(self, names: list[str], stats: Column) -> Column:
+        """Whether the rule holds for a struct of statistics."""
         infinity = float("inf")
         whole = F.lit(True)
         for i, low, high in self.ranges:
             if low > -infinity:
-                whole = whole & (F.col(names[i]) > low)
+                whole = whole & (stats[names[i]] > low)
             if high < infinity:
-                whole = whole & (F.col(names[i]) <= high)
+                whole = whole & (stats[names[i]] <= high)
         return whole
 
 
@@ -122,18 +135,15 @@ class RuleEnsemble:
     intercept: float
     weighted: list[tuple[Rule, float]]
 
-    def score(self) -> Column:
-        """Probability of label 1 from columns that hold the statistics."""
+    def score(self, stats: Column) -> Column:
+        """Probability of label 1 from a struct of statistics."""
         total = F.lit(self.intercept)
         for rule, weight in self.weighted:
-            total = total + F.when(rule.column(self.names), F.lit(weight)).otherwise(0.0)
+            total = total + F.when(rule.column(self.names, stats), F.lit(weight)).otherwise(0.0)
         return 1.0 / (1.0 + F.exp(-total))
 
-    def scored(self, docs: DataFrame, text: str = "text", score: str = "score") -> DataFrame:
-        """The rows with their score; all other columns stay as they are."""
-        inner = pieces(docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text")), "_text")
-        values = [c.alias(n) for n, c in statistics().items()]
-        return inner.select("_row", *values).select("_row.*", self.score().alias(score))
+    def of_text(self, text: str) -> Column:
+        return once(measured(F.col(text)), self.score)
 
 
 def fold(key: Column) -> Column:
@@ -150,27 +160,27 @@ def fit(
 ) -> RuleEnsemble:
     """Learn rules and weights from the labelled rows outside the held-out fold."""
     shared_folder(docs.sparkSession)
-    names = list(statistics())
     usable = labels.filter(F.col(label).isNotNull() & (fold(F.col(id_column)) != HELD_OUT))
     one_each = usable.groupBy(F.col(id_column).alias("_id")).agg(F.min(label).cast("double").alias("label"))
     chosen = one_each.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"))
-    values = [c.alias(n) for n, c in statistics().items()]
-    rows = pieces(texts.join(F.broadcast(chosen), "_id"), "_text").select("label", *values)
+    rows = texts.join(F.broadcast(chosen), "_id").select("label", measured(F.col("_text")).alias("stats"))
     rows = keep(rows.repartition(docs.sparkSession.sparkContext.defaultParallelism))
+    names = rows.select("stats.*").columns
     kinds = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(kinds) < 2:
         good, n = kinds.get(1.0, 0), sum(kinds.values())
         share = (good + PRIOR) / (n + 2 * PRIOR)
         return RuleEnsemble(names, _logit(share), [])
-    points = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
+    points = VectorAssembler(inputCols=names, outputCol="features").transform(rows.select("label", "stats.*"))
     forest = RandomForestClassifier(
         numTrees=TREES, maxDepth=DEPTH, maxBins=64, minInstancesPerNode=5, seed=SEED, featureSubsetStrategy="onethird"
     ).fit(points)
     rules = tree_rules(forest.toDebugString)
     if not rules:
         return RuleEnsemble(names, _logit(kinds.get(1.0, 0) / sum(kinds.values())), [])
-    flags = rows.select("label", *(r.column(names).cast("double").alias(f"r{i}") for i, r in enumerate(rules)))
+    holds = (r.column(names, F.col("stats")).cast("double").alias(f"r{i}") for i, r in enumerate(rules))
+    flags = rows.select("label", *holds)
     sparse = VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))], outputCol="features").transform(flags)
     sparse = keep(sparse.select("label", "features"))
     lasso = LogisticRegression(elasticNetParam=1.0, regParam=LASSO, maxIter=60, standardization=True).fit(sparse)
@@ -185,7 +195,7 @@ def _logit(share: float) -> float:
 def quality_scores(docs: DataFrame, model: RuleEnsemble, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: its id, ``held_out, score, predicted``."""
     slim = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    return model.scored(slim).select(
+    return slim.withColumn("score", model.of_text("text")).select(
         F.col("id").alias(id_column),
         F.coalesce(fold(F.col("id")) == HELD_OUT, F.lit(False)).alias("held_out"),
         "score",
@@ -195,4 +205,4 @@ def quality_scores(docs: DataFrame, model: RuleEnsemble, id_column: str = "doc_i
 
 def keep_quality(docs: DataFrame, model: RuleEnsemble, text: str = "text") -> DataFrame:
     """Documents that the model accepts, with their columns."""
-    return model.scored(docs, text, "_score").filter(F.col("_score") >= THRESHOLD).drop("_score")
+    return docs.filter(model.of_text(text) >= THRESHOLD)

@@ -42,7 +42,7 @@ def test_rules_of_a_tree():
 
 def test_statistics(spark):
     df = spark.createDataFrame([("Ab ab ab!\n\nAb  #1",), ("",), (None,)], "text string")
-    first, *rest = quality.pieces(df, "text").select(*(c.alias(n) for n, c in quality.statistics().items())).collect()
+    first, *rest = df.select(quality.measured(F.col("text")).alias("s")).select("s.*").collect()
     assert (first.distinct_words, first.distinct_lines) == (pytest.approx(4 / 5), 1.0)
     assert first.upper == pytest.approx(2 / 17) and first.digits == pytest.approx(1 / 17)
     assert all(v == 0 for r in rest for v in r)
