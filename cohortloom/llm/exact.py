@@ -76,8 +76,9 @@ def exact_groups(
     rows = with_full_hash(slim, "_text", extra).drop("_text").withColumn("_row", F.monotonically_increasing_id())
     rows = keep(rows)
     first = F.min(F.struct(F.col("_id").isNull(), "_id", "_row")).alias("_first")
+    # Stored, so that nothing stands between the join and its shuffles: a hot group is then split between tasks.
     groups = rows.filter("_full IS NOT NULL").groupBy("_full").agg(first, F.count(F.lit(1)).alias("group_size"))
-    shared = rows.join(groups, "_full").select(
+    shared = rows.join(keep(groups), "_full").select(
         F.col("_id").alias(id_column),
         F.col("_first._id").alias("keep_id"),
         "group_size",
