@@ -86,6 +86,8 @@ def repeated_units(
     rows = keep(slim.mapInArrow(_unit_batches(paragraphs, min_words), _UNITS.format(kind=kind)))
     rank = F.struct(F.col("id").isNull().alias("last"), "id", "row", "unit")
     first = rows.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Stored, so that nothing stands between the join and its shuffles: a hot group is then split between tasks.
+    first = keep(first)
     later = (F.col("row") != F.col("first.row")) | (F.col("unit") != F.col("first.unit"))
     return (
         rows.join(first, "digest")
