@@ -93,6 +93,8 @@ def repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     rows = keep(slim.mapInArrow(_chunk_batches(bits), schema))
     rank = F.struct(F.col("id").isNull().alias("last"), "id", "row", "chunk")
     groups = rows.groupBy("hash", "text").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Stored, so that nothing stands between the join and its shuffles: a hot group is then split between tasks.
+    groups = keep(groups)
     later = (F.col("row") != F.col("first.row")) | (F.col("chunk") != F.col("first.chunk"))
     return (
         rows.join(groups, ["hash", "text"])
