@@ -37,14 +37,24 @@ def numbered(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     return docs.select(row.alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"))
 
 
+def stored_rows(docs: DataFrame) -> DataFrame:
+    """``row, doc``: a stage's rows under numbers, stored so that every reading of them finds the same numbers."""
+    return keep(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")))
+
+
+def texts_of(stored: DataFrame, id_column: str, text: str) -> DataFrame:
+    """``row, id, text`` of stored rows, as in ``numbered``."""
+    return stored.select("row", F.col("doc")[id_column].alias("id"), F.col("doc")[text].alias("text"))
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if a stored table is counted as small; otherwise leave the join to its shuffle."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def without(docs: DataFrame, losers: DataFrame, key: str) -> DataFrame:
-    """Rows of ``docs`` whose key is not in the stored table ``losers``; rows without a key stay."""
-    return docs.join(small_side(losers.select(key).distinct()), key, "left_anti").select(*docs.columns)
+def without(stored: DataFrame, losers: DataFrame) -> DataFrame:
+    """The documents of ``stored_rows`` whose row is not in the stored table ``losers``, whatever their ids."""
+    return stored.join(small_side(losers.select("row").distinct()), "row", "left_anti").select("doc.*")
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

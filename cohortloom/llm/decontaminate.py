@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import filter_bits, in_filter, keep, numbered, slices, without
+from cohortloom.llm.common import filter_bits, in_filter, keep, numbered, slices, stored_rows, texts_of, without
 from cohortloom.llm.words import LOWER, gram_hashes, hashed_words
 
 WINDOW_WORDS = 10
@@ -112,8 +112,7 @@ def _fingerprints(sizes: list[int], bits, own: bool):
     return run
 
 
-def _mapped(df: DataFrame, id_column: str, text: str, sizes: list[int], bits=None, own: bool = False) -> DataFrame:
-    slim = numbered(df, id_column, text)
+def _mapped(slim: DataFrame, sizes: list[int], bits=None, own: bool = False) -> DataFrame:
     kind = slim.schema["id"].dataType.simpleString()
     return keep(slim.mapInArrow(_fingerprints(sizes, bits, own), _SCHEMA.format(kind=kind)))
 
@@ -136,11 +135,17 @@ def contaminated_words(
     item_text: str = "text",
 ) -> DataFrame:
     """One row per document: its id, ``n_words, n_hit, n_items, items`` (sorted ids as text) and ``contaminated``."""
-    items = _mapped(benchmark, item_column, item_text, list(range(1, WINDOW_WORDS + 1)), own=True)
+    items = numbered(benchmark, item_column, item_text)
+    return _hits(numbered(docs, id_column, text), items).drop("row").withColumnRenamed("id", id_column)
+
+
+def _hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``contaminated_words`` of rows ``row, id, text``, with ``row`` and ``id``."""
+    items = _mapped(benchmark, list(range(1, WINDOW_WORDS + 1)), own=True)
     items = items.filter("hash IS NOT NULL")
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
     bits = docs.sparkSession.sparkContext.broadcast(filter_bits(items, "hash"))
-    rows = _mapped(docs, id_column, text, sizes, bits)
+    rows = _mapped(docs, sizes, bits)
     prints = rows.filter("hash IS NOT NULL").join(items.select("size", "hash").distinct(), ["size", "hash"], "left_semi")
     owners = (
         _windows(items, F.col("id").cast("string").alias("item"))
@@ -162,13 +167,14 @@ def contaminated_words(
         .groupBy("row")
         .agg(F.sort_array(F.collect_list("item")).alias("items"))
     )
-    stats = rows.filter("hash IS NULL").select("row", F.col("id").alias(id_column), "n_words")
+    stats = rows.filter("hash IS NULL").select("row", "id", "n_words")
     none = F.array().cast("array<string>")
     return (
         stats.join(spans, "row", "left")
         .join(named, "row", "left")
         .select(
-            id_column,
+            "row",
+            "id",
             "n_words",
             F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
             F.coalesce(F.size(F.coalesce("items", none)), F.lit(0)).cast("bigint").alias("n_items"),
@@ -179,6 +185,7 @@ def contaminated_words(
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents without a benchmark window, with their columns; rows without an id stay."""
-    hit = contaminated_words(docs, benchmark, id_column, text).filter("contaminated").select(id_column)
-    return without(docs, keep(hit), id_column)
+    """Rows without a benchmark window, with their columns."""
+    rows = stored_rows(docs)
+    found = _hits(texts_of(rows, id_column, text), numbered(benchmark, "item_id", "text"))
+    return without(rows, keep(found.filter("contaminated").select("row")))

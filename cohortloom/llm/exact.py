@@ -8,8 +8,8 @@ that passes the filter by chance is hashed once more than needed, no more.
 
 Texts are equal when identical after each run of ASCII white space is replaced
 by one space. Null texts are empty texts. Rows without an id are documents;
-they stay only where no row with an id has their text. Of rows that repeat the
-smallest id with an equal text, one stays. Further columns are carried or ignored.
+the first stays only where no row with an id has their text. Of rows that repeat
+the smallest id with an equal text, one stays; a decision holds for its row alone. Further columns are carried or ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import keep, text_of, without
+from cohortloom.llm.common import keep, numbered, stored_rows, text_of, texts_of, without
 
 PREFIX_CHARS = 128
 #: Bits of the survivors' filter, broadcast as at most 2^18 words of 64 bits.
@@ -71,14 +71,19 @@ def exact_groups(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", extra: Mapping[str, Column] | None = None
 ) -> DataFrame:
     """One row per document: its id, ``keep_id, group_size, kept`` and the ``extra`` columns."""
-    slim = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"))
+    return _groups(numbered(docs, id_column, text), id_column, extra).drop("_row")
+
+
+def _groups(slim: DataFrame, id_column: str, extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """The columns of ``exact_groups`` and ``_row`` for rows ``row, id, text``."""
+    slim = slim.select(F.col("row").alias("_row"), F.col("id").alias("_id"), F.col("text").alias("_text"))
     names = list(extra or {})
-    rows = with_full_hash(slim, "_text", extra).drop("_text").withColumn("_row", F.monotonically_increasing_id())
-    rows = keep(rows)
+    rows = keep(with_full_hash(slim, "_text", extra).drop("_text"))
     first = F.min(F.struct(F.col("_id").isNull(), "_id", "_row")).alias("_first")
     # Stored, so that nothing stands between the join and its shuffles: a hot group is then split between tasks.
     groups = rows.filter("_full IS NOT NULL").groupBy("_full").agg(first, F.count(F.lit(1)).alias("group_size"))
     shared = rows.join(keep(groups), "_full").select(
+        "_row",
         F.col("_id").alias(id_column),
         F.col("_first._id").alias("keep_id"),
         "group_size",
@@ -86,6 +91,7 @@ def exact_groups(
         *names,
     )
     alone = rows.filter("_full IS NULL").select(
+        "_row",
         F.col("_id").alias(id_column),
         F.col("_id").alias("keep_id"),
         F.lit(1).cast("bigint").alias("group_size"),
@@ -96,7 +102,7 @@ def exact_groups(
 
 
 def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, with their columns; a document is its id, and rows without one all stay."""
-    groups = exact_groups(docs, id_column, text)
-    dropped = keep(groups.filter(f"NOT kept AND NOT (keep_id <=> {id_column})").select(id_column))
-    return without(docs, dropped, id_column)
+    """The rows that stay, one of each text, with their columns."""
+    rows = stored_rows(docs)
+    dropped = _groups(texts_of(rows, id_column, text), id_column).filter("NOT kept")
+    return without(rows, keep(dropped.select(F.col("_row").alias("row"))))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import components, keep, without
+from cohortloom.llm.common import components, keep, numbered, stored_rows, texts_of, without
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -77,15 +77,15 @@ def fingerprint(text: str | None) -> int:
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["id", "fp"])
+        found = np.array([fingerprint(t.as_py()) for t in batch.column(2)], np.uint64)
+        columns = [batch.column(0), batch.column(1), pa.array(found.view(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["row", "id", "fp"])
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, fp`` of every row; ``fp`` is the fingerprint as a signed integer."""
-    slim = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
+def fingerprints(slim: DataFrame) -> DataFrame:
+    """``row, id, fp`` of rows ``row, id, text``; ``fp`` is the fingerprint as a signed integer."""
     kind = slim.schema["id"].dataType.simpleString()
-    return slim.mapInArrow(_fingerprint_batches, f"id {kind}, fp bigint")
+    return slim.mapInArrow(_fingerprint_batches, f"row bigint, id {kind}, fp bigint")
 
 
 def _masks() -> list[int]:
@@ -154,19 +154,25 @@ def links(nodes: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: its id, ``fp`` and ``component_id``, the smallest id that links reach."""
-    rows = keep(fingerprints(docs, id_column, text))
-    nodes = rows.groupBy("fp").agg(F.min("id").alias("low"))
+    groups = _groups(numbered(docs, id_column, text))
+    return groups.select(F.col("id").alias(id_column), "fp", F.col("first.id").alias("component_id"))
+
+
+def _groups(slim: DataFrame) -> DataFrame:
+    """``row, id, fp`` of rows ``row, id, text`` and ``first``: the row that stays of each component, smallest id first."""
+    rows = keep(fingerprints(slim))
+    nodes = rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("low"))
     roots = components(links(nodes))
     placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )
-    names = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    table = placed.join(names, "root").select("fp", "component_id")
-    return rows.join(table, "fp").select(F.col("id").alias(id_column), "fp", "component_id")
+    names = placed.groupBy("root").agg(F.min("low").alias("first"))
+    table = placed.join(names, "root").select("fp", "first")
+    return rows.join(table, "fp").select("row", "id", "fp", "first")
 
 
 def near_dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, with its columns; rows without an id stay."""
-    groups = near_groups(docs, id_column, text)
-    dropped = keep(groups.filter(f"{id_column} <> component_id").select(id_column))
-    return without(docs, dropped, id_column)
+    """One row of each component, with its columns."""
+    rows = stored_rows(docs)
+    groups = _groups(texts_of(rows, id_column, text))
+    return without(rows, keep(groups.filter("row <> first.row").select("row")))
