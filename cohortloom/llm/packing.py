@@ -12,8 +12,9 @@ not by document or length, into groups of about ``GROUP_PIECES``. A group has
 pieces of all lengths and wastes part of its last bins only, a few in
 tens of thousands.
 
-Ids come from the vocabulary's rank file, whose ids are those of the JSON file
-for all texts; strings of special tokens inside texts are ordinary text. Null
+Ids come from the vocabulary's rank file and the added tokens of the JSON file,
+so they are those of the JSON file for all texts: the string of an added token
+inside a text is that token, as the JSON file's tokenizer reads it. Null
 and empty texts are one piece with the end id. Long texts are encoded a part at
 a time, cut where the vocabulary's pattern always cuts. Rows with repeated or
 missing ids are documents of their own; an empty table gives no rows; further
@@ -23,9 +24,10 @@ columns are ignored.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
@@ -40,19 +42,35 @@ from cohortloom.llm.common import keep, numbered
 CAPACITY = 1024
 END_ID = 2
 RANKS = "byte_bpe_50k.tiktoken"
+VOCABULARY = "byte_bpe_50k.json"
 GROUP_PIECES = 32_768
 PART_CHARS = 1 << 19
-#: A space between a visible character and a letter always starts a new token.
+#: A space between a visible character and a letter always starts a new token; added tokens have no spaces.
 _CUT = re.compile(r"(?<=\S) (?=[^\W\d_])")
 
 _PIECES = "row bigint, id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
 _PLACED = "id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 
 
-def load_encoding(path: str) -> tiktoken.Encoding:
+def added_tokens(path: str) -> dict[str, int]:
+    """Strings and ids of the added tokens of a JSON vocabulary."""
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file)["added_tokens"]
+    for token in found:
+        plain = not any(token[k] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+        if not plain or _CUT.search(f"x{token['content']}x"):
+            raise ValueError(f"the added token {token['content']!r} is not a plain string without spaces")
+    return {token["content"]: token["id"] for token in found}
+
+
+def load_encoding(path: str, added: Mapping[str, int] | None = None) -> tiktoken.Encoding:
+    """The encoding of a rank file; without ``added`` tokens all of a text is ordinary."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    special = dict(added or {})
+    return tiktoken.Encoding(
+        "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
+    )
 
 
 def token_ids(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
@@ -61,7 +79,7 @@ def token_ids(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
     while at < len(text):
         cut = _CUT.search(text, at + PART_CHARS)
         end = cut.start() if cut else len(text)
-        found.append(np.array(encoding.encode_ordinary(text[at:end]), np.uint32))
+        found.append(np.array(encoding.encode(text[at:end], allowed_special="all"), np.uint32))
         at = end
     return np.concatenate([*found, np.array([END_ID], np.uint32)])
 
@@ -72,9 +90,9 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((a, capacity) for a in range(first, n, capacity))]
 
 
-def _piece_batches(path: str, capacity: int):
+def _piece_batches(path: str, added: Mapping[str, int], capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = load_encoding(path)
+        encoding = load_encoding(path, added)
         for batch in batches:
             rows, found = [], []
             for r, value in enumerate(batch.column(2)):
@@ -151,12 +169,18 @@ def pack(
     text: str = "text",
     path: str | None = None,
     capacity: int = CAPACITY,
+    added: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """One row per piece: its document, place in it, CRC of its ids, and its sequence and place there."""
+    """One row per piece: its document, place in it, CRC of its ids, and its sequence and place there.
+
+    A rank file of the caller's own comes with its ``added`` tokens, if it has any.
+    """
+    if path is None and added is None:
+        added = added_tokens(public_tokenizers.path(VOCABULARY))
     path = path or public_tokenizers.path(RANKS)
     slim = numbered(docs, id_column, text)
     kind = slim.schema["id"].dataType.simpleString()
-    pieces = keep(slim.mapInArrow(_piece_batches(path, capacity), _PIECES.format(kind=kind)))
+    pieces = keep(slim.mapInArrow(_piece_batches(path, added or {}, capacity), _PIECES.format(kind=kind)))
     short = F.col("length") < capacity
     groups = max(1, -(-pieces.filter(short).count() // GROUP_PIECES))
 
