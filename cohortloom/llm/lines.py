@@ -4,8 +4,8 @@ A unit is a line, or a paragraph (lines between blank ones). Units are
 normalised (A-Z to lower case, runs of ASCII white space to one space, none at
 the ends) and hashed to 128 bits; digests are grouped over all documents, the
 occurrence that ranks first (smallest id, then place) stays and the others are
-removed. Offsets are in characters of the original text. Units of fewer than
-``MIN_WORDS`` words are not compared: they repeat by chance.
+removed. Offsets are in characters of the original text. Every unit that is
+not empty is compared, unless the caller sets a least number of words.
 
 Digests are combined before the shuffle, so a line that a third of the corpus
 has is a few rows per task. Null and empty texts have no units that count; rows
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.common import keep, numbered
 
-MIN_WORDS = 5
+MIN_WORDS = 1
 _BLANK = re.compile(r"\n(?:[ \t]*\n)+")
 _UNITS = "row bigint, id {kind}, unit int, start bigint, end bigint, n_words int, digest binary"
 
