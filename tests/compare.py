@@ -8,6 +8,9 @@ from pathlib import Path
 
 import duckdb
 
+#: The folders of test tables.
+TESTDATA = Path("/root/testdata")
+
 
 def duckdb_over(folder: str):
     connection = duckdb.connect()

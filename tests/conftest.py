@@ -7,9 +7,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from cohortloom.session import build_session  # noqa: E402
 
-TESTDATA = Path("/root/testdata")
-
-
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(

@@ -4,8 +4,7 @@ import importlib.util
 from pathlib import Path
 
 import pytest
-from compare import difference, duckdb_over
-from conftest import TESTDATA
+from compare import TESTDATA, difference, duckdb_over
 
 from registry.oracles import ORACLES
 from registry.queries import QUERIES

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import TESTDATA
+from compare import TESTDATA
 from test_oracles import entry
 
 from registry import queries as Q
