@@ -2,6 +2,15 @@
 
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+#: CRC-32 of a list of bytes, over a table of its 256 remainders ``t``.
+CRC_TABLE = """SELECT list_transform(range(256), lambda i: list_reduce(
+    list_prepend(i, range(8)), lambda c, j: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END
+)) AS t"""
+CRC = "xor(list_reduce(list_prepend(4294967295, {}), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
+#: UTF-8 bytes of a text of code points below 2,048.
+BYTES = """flatten(list_transform(string_split({}, ''), lambda x: CASE
+    WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END))"""
+
 ORACLES = {
     "op1_decontaminate": rf"""
 WITH docs AS (
@@ -189,5 +198,59 @@ SELECT
     sha256(norm) AS text_sha256
 FROM d
 WINDOW same AS (PARTITION BY norm)
+""",
+    "op11_spelling": rf"""
+WITH RECURSIVE crc AS ({CRC_TABLE}),
+runs AS (
+    SELECT doc_id, word, count(*) AS n
+    FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, {LOWER}), '[a-zÀ-ÿ]+')) AS word FROM documents
+    )
+    WHERE length(word) >= 6 GROUP BY doc_id, word
+),
+marked AS (
+    SELECT word, n, {CRC.format(BYTES.format("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || word"))} AS h FROM runs, crc
+),
+damaged AS (
+    SELECT CASE WHEN h % 199 = 0
+        THEN substr(word, 1, h % length(word)) || substr(word, (h % length(word)) + 2) ELSE word END AS word, n
+    FROM marked
+),
+words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM damaged WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+),
+places AS (SELECT word, n, unnest(range(0, length(word))) AS i FROM words),
+skips AS (
+    SELECT word, n, substr(word, 1, i) || '_' || substr(word, i + 2) AS mask,
+        substr(word, 1, i) || substr(word, i + 2) AS shorter
+    FROM places
+),
+deleted AS (
+    SELECT DISTINCT s.word AS long_word, s.n AS long_n, w.word AS short_word, w.n AS short_n
+    FROM skips AS s JOIN words AS w ON s.shorter = w.word
+),
+near AS (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM skips AS a JOIN skips AS b USING (mask) WHERE a.word <> b.word
+    UNION ALL SELECT long_word, short_word, short_n FROM deleted
+    UNION ALL SELECT short_word, long_word, long_n FROM deleted
+),
+best AS (
+    SELECT word, count(*) AS n_near, max(other_n) AS best_n FROM near GROUP BY word
+),
+forms AS (
+    SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * n THEN best_n END AS form_n
+    FROM words LEFT JOIN best USING (word)
+),
+named AS (
+    SELECT f.word, min(other) AS form FROM forms AS f JOIN near ON near.word = f.word AND near.other_n = f.form_n
+    GROUP BY f.word
+),
+followed AS (
+    SELECT word, word AS root FROM words
+    UNION SELECT followed.word, named.form FROM followed JOIN named ON named.word = followed.root
+),
+rooted AS (SELECT word, root FROM followed WHERE root NOT IN (SELECT word FROM named))
+SELECT forms.word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n
+FROM forms LEFT JOIN named USING (word) JOIN rooted USING (word)
 """,
 }
