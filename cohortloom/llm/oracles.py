@@ -252,5 +252,50 @@ followed AS (
 rooted AS (SELECT word, root FROM followed WHERE root NOT IN (SELECT word FROM named))
 SELECT forms.word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n
 FROM forms LEFT JOIN named USING (word) JOIN rooted USING (word)
+""",
+    "op12_prefix_trie": rf"""
+WITH crc AS ({CRC_TABLE}),
+turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+    SELECT conv_id, {CRC.format(BYTES.format("CAST(conv_id AS VARCHAR)"))} % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns), crc
+),
+placed AS (
+    SELECT c.conv_id, pos, role, text FROM convs AS c JOIN turns AS t ON t.conv_id = c.conv_id - c.conv_id % 100
+    WHERE pos < h
+    UNION ALL SELECT c.conv_id, pos, role, text FROM convs AS c JOIN turns AS t ON t.conv_id = c.conv_id WHERE pos >= h
+),
+said AS (
+    SELECT conv_id, list(sha256(length(role) || ':' || role || text) ORDER BY pos) AS path,
+        list(length(text) ORDER BY pos) AS chars
+    FROM placed GROUP BY conv_id
+),
+lists AS (SELECT conv_id, coalesce(path, []) AS path, coalesce(chars, []) AS chars FROM convs LEFT JOIN said USING (conv_id)),
+steps AS (
+    SELECT conv_id, d, array_to_string(path[1 : d], '|') AS node,
+        CASE WHEN d > 0 THEN array_to_string(path[1 : d - 1], '|') END AS parent, len(path) = d AS ends,
+        CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS chars
+    FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM lists)
+),
+nodes AS (
+    SELECT node, min(d) AS depth, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+        (count(*) - 1) * min(chars) AS saved, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS ids
+    FROM steps GROUP BY node
+),
+children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+sums AS (
+    SELECT s.node, sum(CASE WHEN k.node IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum(n.saved) AS saved_tokens
+    FROM nodes AS n JOIN steps AS s ON s.conv_id = n.conv_id AND s.d <= n.depth LEFT JOIN children AS k ON k.node = n.node
+    GROUP BY s.node
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+    CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+    sha256(coalesce(n.ids, '')) AS ends_sha256
+FROM nodes AS n LEFT JOIN nodes AS p ON p.node = n.parent LEFT JOIN children AS k ON k.node = n.node
+JOIN sums ON sums.node = n.node
 """,
 }
