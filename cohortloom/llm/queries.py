@@ -17,6 +17,7 @@ from cohortloom.llm import (
     simhash,
     spelling,
     suffix,
+    suffix_lm,
     urls,
 )
 from cohortloom.session import use_utc
@@ -121,6 +122,11 @@ def op12_prefix_trie(spark, folder):
     return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(turns, HEAD_EVERY, HEAD_TURNS, head))
 
 
+def op13_suffix_lm(spark, folder):
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return suffix_lm.suffix_tree_scores(table(spark, folder, "documents"), held_out)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_chat": op2_chat,
@@ -134,4 +140,5 @@ QUERIES = {
     "op10_exact": op10_exact,
     "op11_spelling": op11_spelling,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_suffix_lm": op13_suffix_lm,
 }

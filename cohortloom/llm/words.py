@@ -31,15 +31,18 @@ class _Powers:
         return cls.up, cls.down
 
 
-def hashed_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and hash of every word of the rows ``data[at[i]:at[i + 1]]``; words never cross rows."""
+def hashed_words(data: np.ndarray, at: np.ndarray, letters: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of every word of the rows ``data[at[i]:at[i + 1]]``; words never cross rows.
+
+    ``letters`` says of each byte whether it belongs to words.
+    """
     found, pos = [], 0
     while pos < len(data):
         end = min(len(data), pos + SEGMENT)
-        while end < len(data) and WORD[data[end]]:
+        while end < len(data) and letters[data[end]]:
             end += 1
         part = data[pos:end]
-        is_word = WORD[part]
+        is_word = letters[part]
         cuts = at[(at > pos) & (at < end)] - pos
         before = np.concatenate(([False], is_word[:-1]))
         before[cuts] = False
