@@ -1,0 +1,118 @@
+"""Prefix tries against a plain version, over few and many shards."""
+
+import hashlib
+import random
+from collections import defaultdict
+from zlib import crc32
+
+import pytest
+from pyspark.sql import functions as F
+
+from cohortloom.llm import prefix_trie
+from cohortloom.llm.queries import HEAD_EVERY, HEAD_TURNS
+
+ROWS = "conv_id bigint, turn bigint, role string, text string"
+
+
+def plain_conversations(rows):
+    said = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            said[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    turns = {c: [t[2:] for t in sorted(own)] for c, own in said.items()}
+    out = {}
+    for c, own in turns.items():
+        h = crc32(str(c).encode()) % HEAD_TURNS
+        out[c] = turns.get(c - c % HEAD_EVERY, [])[:h] + own[h:]
+    return out
+
+
+def plain_trie(conversations):
+    members, ends, kids = defaultdict(list), defaultdict(list), defaultdict(set)
+    for c, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+            if d:
+                kids[tuple(turns[: d - 1])].add(tuple(turns[:d]))
+        ends[tuple(turns)].append(c)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        leaves[node] = sum(leaves[k] for k in kids[node]) or 1
+        own = (len(members[node]) - 1) * len(node[-1][1]) if node else 0
+        saved[node] = own + sum(saved[k] for k in kids[node])
+    return sorted(
+        (
+            min(members[node]), len(node), min(members[node[:-1]]) if node else None, len(members[node]), len(kids[node]),
+            leaves[node], saved[node], hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest(),
+        )
+        for node in members
+    )
+
+
+def trie(rows):
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % HEAD_TURNS
+    turns = prefix_trie.encoded_turns(rows)
+    nodes = prefix_trie.prefix_trie(prefix_trie.with_shared_heads(turns, HEAD_EVERY, HEAD_TURNS, head))
+    assert nodes.columns == prefix_trie.NODE_COLUMNS
+    return sorted((tuple(r) for r in nodes.collect()), key=lambda r: (r[0], r[1], r[2] is not None, r[2] or 0, *r[3:]))
+
+
+def rows_of(seed, n=400):
+    pick = random.Random(seed)
+    rows = []
+    for c in range(n):
+        kind = pick.random()
+        if kind < 0.3:  # a large group of copies
+            texts = ["hello", "world", "again"]
+        elif kind < 0.5:  # one common beginning
+            texts = ["hello", *(pick.choice("abc") for _ in range(pick.randint(0, 6)))]
+        else:
+            texts = [pick.choice("abcd") * pick.randint(1, 2) for _ in range(pick.randint(1, 7))]
+        rows += [(c + (c > 350) * 100, t, "user" if t % 2 == 0 else "assistant", x) for t, x in enumerate(texts)]
+    rows += [(17, None, "system", "first"), (18, 1, None, None), (18, 1, None, None), (None, 0, "user", "nobody")]
+    rows += [(19, 2, "user", "tie b"), (19, 2, "user", "tie a"), (2005, 0, "user", "alone"), (2006, 0, "user", "a" * 100_000)]
+    rows += [(3000, t, "user", f"turn {t}") for t in range(600)] + [(3007, t, "user", f"turn {t}") for t in range(599)]
+    pick.shuffle(rows)
+    return rows
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: (r[0], r[1], r[2] is not None, r[2] or 0, *r[3:]))
+
+
+@pytest.mark.parametrize("width", ["3", "8", "64"])
+def test_nodes_match_plain_version(spark, width):
+    rows = rows_of(int(width))
+    spark.conf.set("spark.sql.shuffle.partitions", width)
+    try:
+        found = trie(spark.createDataFrame(rows, ROWS).withColumn("id", F.lit("clash")).withColumn("chars", F.lit(None)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found == ordered(plain_trie(plain_conversations(rows)))
+
+
+def test_long_lists_of_members_are_digested_in_chunks(spark):
+    rows = [(c, 0, "user", "same") for c in range(5_000)]
+    assert trie(spark.createDataFrame(rows, ROWS)) == ordered(plain_trie(plain_conversations(rows)))
+
+
+def test_empty_table(spark):
+    assert trie(spark.createDataFrame([], ROWS)) == []
+    assert trie(spark.createDataFrame([(None, 1, "user", "x")], ROWS)) == []
+
+
+def test_median_order_visits_all():
+    for n in (0, 1, 2, 7, 100):
+        assert sorted(prefix_trie.median_order(n)) == list(range(n))
+
+
+def test_siblings_are_balanced():
+    tree, n = prefix_trie.TernaryTree(), 1023
+    for i in prefix_trie.median_order(n):
+        tree.insert([i], [1])
+    depth = {tree.equal[0]: 1}
+    for node in range(1, len(tree.key)):
+        for below in (tree.low[node], tree.high[node]):
+            if below >= 0:
+                depth[below] = depth[node] + 1
+    assert max(depth.values()) == 10
