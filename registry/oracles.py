@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from registry.sql import CRC_TABLE, crc32
+
 WINDOW_DAYS = {"l1d": 1, "l3d": 3, "l7d": 7, "l14d": 14, "l30d": 30, "l60d": 60, "l90d": 90}
 SHORT_WINDOWS = ("l1d", "l3d", "l7d", "l14d", "l30d")
 CONDITIONS = {"": "", "is_error_": "is_error AND ", "is_noterror_": "NOT is_error AND "}
@@ -9,6 +11,13 @@ CONDITIONS = {"": "", "is_error_": "is_error AND ", "is_noterror_": "NOT is_erro
 # Midnight of 2024-01-31 in a zone seven hours ahead of UTC.
 AS_OF_MS = "epoch_ms(TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 HOURS)"
 
+# The inputs of the training queries, with their gaps.
+LEARNABLE_INPUTS = """
+    CASE WHEN NOT (l_linenumber = 2 AND l_quantity < 5) THEN l_quantity END AS quantity,
+    CASE WHEN l_linenumber = 3 THEN CAST('nan' AS DOUBLE) WHEN l_linenumber <> 4 THEN l_discount END AS discount,
+    CASE WHEN l_linenumber <> 5 THEN l_tax END AS tax,
+    CASE WHEN l_linenumber <> 6 THEN l_returnflag = 'R' END AS returned"""
+
 PREPARED = f"""
   SELECT user_id, DATE '2024-01-31' AS partition_date, event_id, value,
          CAST(round(value * 100) AS BIGINT) AS value_cents,
@@ -340,27 +349,86 @@ ORACLES = {
     "latest_per_key": """
         SELECT user_id AS name, CAST(event_id AS VARCHAR) AS version, event_type, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
-    # A label that follows from one column: trees find that column and no other, and predict without error.
-    "feature_importance": """
-        SELECT feature, CASE WHEN feature = 'quantity' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS importance
-        FROM (SELECT unnest(['quantity', 'discount', 'tax', 'returned']) AS feature) AS f
-        WHERE (SELECT count(DISTINCT l_quantity > 25) FROM lineitem) = 2""",
+    # The first split of each feature over all rows; discount and tax have gaps, quantity and returned too.
+    "split_gains": f"""
+        WITH inputs AS (
+          SELECT *, CASE WHEN COALESCE(quantity, 0) + l_linenumber * COALESCE(CAST(returned AS INTEGER), 2)
+                      + 4 * ((l_orderkey * 7 + l_linenumber * 3) % 11) > 48 THEN 1 ELSE 0 END AS y
+          FROM (SELECT l_orderkey, l_linenumber, {LEARNABLE_INPUTS} FROM lineitem)),
+        long AS (
+          SELECT 'quantity' AS feature, COALESCE(quantity, -999999) AS x, y FROM inputs
+          UNION ALL SELECT 'discount', CASE WHEN discount IS NULL OR isnan(discount) THEN -999999 ELSE discount END, y FROM inputs
+          UNION ALL SELECT 'tax', COALESCE(tax, -999999), y FROM inputs
+          UNION ALL SELECT 'returned', COALESCE(CAST(CAST(returned AS INTEGER) AS DOUBLE), -999999), y FROM inputs),
+        counts AS (SELECT feature, x, count(*) AS n, sum(y) AS pos FROM long GROUP BY feature, x),
+        sums AS (
+          SELECT feature, x, sum(n) OVER w AS n, sum(pos) OVER w AS pos, sum(n) OVER v AS all_n, sum(pos) OVER v AS all_pos
+          FROM counts WINDOW w AS (PARTITION BY feature ORDER BY x), v AS (PARTITION BY feature)),
+        shares AS (SELECT *, CAST(all_pos AS DOUBLE) / all_n AS p FROM sums WHERE n < all_n),
+        parts AS (
+          SELECT feature, x, n * p - pos AS g, (all_n - n) * p - (all_pos - pos) AS other, n, all_n - n AS m, p * (1 - p) AS h
+          FROM shares WHERE least(n, all_n - n) >= 20),
+        gains AS (SELECT feature, x, g * g / (n * h) + other * other / (m * h) AS gain FROM parts)
+        SELECT feature, arg_max(x, gain) AS cut, round(max(gain), 1) AS gain FROM gains GROUP BY feature""",
+    "class_balance": """
+        WITH sizes AS (SELECT toxic, count(*) AS n FROM labels WHERE toxic IS NOT NULL GROUP BY toxic),
+        rates AS (SELECT toxic, CAST((SELECT max(n) FROM sizes) AS DOUBLE) / n AS rate FROM sizes),
+        draws AS (
+          SELECT toxic, rate, CAST(ceil(rate / 16.0) AS BIGINT) AS k, rate / ceil(rate / 16.0) AS mean FROM rates),
+        steps AS (
+          SELECT toxic, list_transform(range(0, 100), lambda j: list_sum(
+            list_transform(range(0, j + 1), lambda i: exp(-mean + i * ln(mean) - lgamma(i + 1))))) AS cdf
+          FROM draws),
+        places AS (
+          SELECT l.doc_id, l.toxic, rate, k, unnest(range(0, greatest(k, 1))) AS i FROM labels AS l JOIN draws USING (toxic)),
+        drawn AS (
+          SELECT doc_id, toxic, CASE WHEN rate <= 1 THEN 1 ELSE
+            len(list_filter(cdf, lambda s: s <= place)) END AS times
+          FROM (SELECT *, (CAST('0x' || substr(md5('42:' || i || ':' || doc_id), 1, 8) AS BIGINT) + 0.5) / 4294967296.0 AS place
+                FROM places JOIN steps USING (toxic))),
+        each AS (SELECT doc_id, toxic, sum(times) AS times FROM drawn GROUP BY doc_id, toxic)
+        SELECT toxic AS class, CAST(sum(times) AS BIGINT) AS n_drawn, count(*) AS n_rows,
+               CAST(max(times) - 1 AS BIGINT) AS max_replica,
+               CAST(sum(doc_id * (times * (times + 1)) / 2) AS BIGINT) AS checksum
+        FROM each WHERE times > 0 GROUP BY toxic""",
+    "permutation_drops": f"""
+        WITH crc AS ({CRC_TABLE}),
+        base AS (
+          SELECT l_orderkey, l_linenumber, l_linestatus, max(l_quantity) AS quantity,
+                 round(max(l_discount) * 100) AS discount, round(max(l_tax) * 100) AS tax
+          FROM lineitem GROUP BY l_orderkey, l_linenumber, l_linestatus),
+        keyed AS (
+          SELECT *, CASE WHEN quantity + 2 * discount + 4 * ((l_orderkey * 7 + l_linenumber * 3) % 11) > 55
+                    THEN 1 ELSE 0 END AS label,
+                 l_orderkey || '|' || l_linenumber || '|' || l_linestatus AS key
+          FROM base),
+        placed AS (SELECT *, {crc32("key")} AS h FROM keyed, crc),
+        turned AS (
+          SELECT quantity, discount, tax, label,
+                 COALESCE(lead(quantity) OVER w, first_value(quantity) OVER w) AS q,
+                 COALESCE(lead(discount) OVER w, first_value(discount) OVER w) AS d,
+                 COALESCE(lead(tax) OVER w, first_value(tax) OVER w) AS t
+          FROM placed WINDOW w AS (PARTITION BY h % 16 ORDER BY h, key)),
+        long AS (
+          SELECT '' AS feature, 3 * quantity + 5 * discount - tax AS score, label FROM turned
+          UNION ALL SELECT 'quantity', 3 * q + 5 * discount - tax, label FROM turned
+          UNION ALL SELECT 'discount', 3 * quantity + 5 * d - tax, label FROM turned
+          UNION ALL SELECT 'tax', 3 * quantity + 5 * discount - t, label FROM turned),
+        counts AS (
+          SELECT feature, score, sum(label) AS pos, count(*) - sum(label) AS neg FROM long GROUP BY feature, score),
+        below AS (
+          SELECT feature, pos, neg, sum(neg) OVER (PARTITION BY feature ORDER BY score) - neg AS lower FROM counts),
+        areas AS (
+          SELECT feature, CAST(sum(pos * (lower + neg / 2)) AS DOUBLE) / (sum(pos) * sum(neg)) AS auc
+          FROM below GROUP BY feature)
+        SELECT a.feature, round(b.auc, 9) AS auc, round(b.auc - a.auc, 9) AS auc_drop
+        FROM areas AS a, areas AS b WHERE a.feature <> '' AND b.feature = ''""",
+    # A label that follows from one column: no model's order suffers when another column's values change rows.
     "varimp": """
         SELECT variable, CASE WHEN variable = 'quantity' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
                  AS relative_importance
         FROM (SELECT unnest(['quantity', 'discount', 'tax', 'returned']) AS variable) AS f
         WHERE (SELECT count(DISTINCT l_quantity > 25) FROM lineitem) = 2""",
-    "train_leaderboard": """
-        SELECT model, settings, CAST(1 AS DOUBLE) AS auc FROM (VALUES
-          ('linear', '{''regParam'': 0.0, ''elasticNetParam'': 0.5}'),
-          ('linear', '{''regParam'': 0.01, ''elasticNetParam'': 0.5}'),
-          ('linear', '{''regParam'': 0.1, ''elasticNetParam'': 0.5}'),
-          ('forest', '{''numTrees'': 20, ''maxDepth'': 5}'),
-          ('forest', '{''numTrees'': 40, ''maxDepth'': 6}'),
-          ('boosted', '{''maxIter'': 10, ''maxDepth'': 3}'),
-          ('boosted', '{''maxIter'': 10, ''maxDepth'': 5}'),
-          ('stacked', '{''regParam'': 0.0}')) AS b(model, settings)
-        WHERE (SELECT count(DISTINCT l_quantity > 25) FROM lineitem) = 2""",
     "stacked_model": """
         SELECT l_orderkey, l_linenumber, CAST(l_quantity > 25 AS INTEGER) AS is_big,
                CAST(l_quantity > 25 AS INTEGER) AS prediction FROM lineitem""",
