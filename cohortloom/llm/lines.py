@@ -1,6 +1,8 @@
 """Substring deduplication by line or paragraph hashing.
 
-A unit is a line, or a paragraph (lines between blank ones). Units are
+A unit is a line, or a paragraph (lines between blank ones). Within units that do not
+repeat as a whole, their sentences can be compared as well: a passage inside a longer line,
+or a line of which one word was changed, is found by them. Units and sentences are
 normalised (A-Z to lower case, runs of ASCII white space to one space, none at
 the ends) and hashed to 128 bits; digests are grouped over all documents, the
 occurrence that ranks first (smallest id, then place) stays and the others are
@@ -27,7 +29,9 @@ from cohortloom.llm.common import keep, numbered
 
 MIN_WORDS = 1
 _BLANK = re.compile(r"\n(?:[ \t]*\n)+")
-_UNITS = "row bigint, id {kind}, unit int, start bigint, end bigint, n_words int, digest binary"
+#: A sentence ends before white space.
+_SENTENCE = re.compile(r"[.!?]([ \t]+)")
+_UNITS = "row bigint, id {kind}, unit int, part int, start bigint, end bigint, n_words int, digest binary"
 
 
 def units(text: str, paragraphs: bool = False) -> Iterator[tuple[int, int, str]]:
@@ -45,17 +49,29 @@ def units(text: str, paragraphs: bool = False) -> Iterator[tuple[int, int, str]]
         at = gap.end() if gap else end
 
 
-def _unit_batches(paragraphs: bool, min_words: int):
+def sentences(unit: str) -> list[tuple[int, int]]:
+    """Start and end of each sentence that is not blank."""
+    cuts = [(m.start(1), m.end()) for m in _SENTENCE.finditer(unit)]
+    starts = [0, *(end for _, end in cuts)]
+    found = zip(starts, [*(stop for stop, _ in cuts), len(unit)], strict=True)
+    return [(a, b) for a, b in found if unit[a:b].strip(" \t\r\x0b\x0c")]
+
+
+def _unit_batches(paragraphs: bool, min_words: int, sentence_words: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[tuple] = []
             rows: list[int] = []
             for r, value in enumerate(batch.column(2)):
                 for k, (a, b, unit) in enumerate(units(value.as_py() or "", paragraphs)):
-                    words = unit.encode("utf-8", "surrogatepass").lower().split()
-                    if len(words) >= min_words:
-                        rows.append(r)
-                        found.append((k, a, b, len(words), hashlib.md5(b" ".join(words)).digest()))
+                    parts = [(0, a, b, unit, min_words)]
+                    if sentence_words is not None and len(inner := sentences(unit)) > 1:
+                        parts += [(p, a + x, a + y, unit[x:y], sentence_words) for p, (x, y) in enumerate(inner, 1)]
+                    for part, start, end, piece, least in parts:
+                        words = piece.encode("utf-8", "surrogatepass").lower().split()
+                        if len(words) >= least:
+                            rows.append(r)
+                            found.append((k, part, start, end, len(words), hashlib.md5(b" ".join(words)).digest()))
                 if len(found) > 50_000:
                     yield table(batch, rows, found)
                     found, rows = [], []
@@ -63,11 +79,11 @@ def _unit_batches(paragraphs: bool, min_words: int):
 
     def table(batch: pa.RecordBatch, rows: list[int], found: list[tuple]) -> pa.RecordBatch:
         take = pa.array(rows, pa.int64())
-        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
         columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
         return pa.RecordBatch.from_arrays(
             [batch.column(0).take(take), batch.column(1).take(take), *columns],
-            ["row", "id", "unit", "start", "end", "n_words", "digest"],
+            ["row", "id", "unit", "part", "start", "end", "n_words", "digest"],
         )
 
     return run
@@ -79,38 +95,49 @@ def repeated_units(
     text: str = "text",
     paragraphs: bool = False,
     min_words: int = MIN_WORDS,
+    sentence_words: int | None = None,
 ) -> DataFrame:
-    """One row per removed unit: its document, place and digest, and the document and unit that stay."""
+    """One row per removed unit: its document, place and digest, and the document and unit that stay.
+
+    ``part`` is 0 for a whole unit. With ``sentence_words``, sentences of so many words at least are removed too
+    where their unit stays; they are numbered from 1 in it. Spans of one document never overlap.
+    """
     slim = numbered(docs, id_column, text)
     kind = slim.schema["id"].dataType.simpleString()
-    rows = keep(slim.mapInArrow(_unit_batches(paragraphs, min_words), _UNITS.format(kind=kind)))
-    rank = F.struct(F.col("id").isNull().alias("last"), "id", "row", "unit")
+    rows = keep(slim.mapInArrow(_unit_batches(paragraphs, min_words, sentence_words), _UNITS.format(kind=kind)))
+    rank = F.struct(F.col("id").isNull().alias("last"), "id", "row", "unit", "part")
     first = rows.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     # Stored, so that nothing stands between the join and its shuffles: a hot group is then split between tasks.
     first = keep(first)
-    later = (F.col("row") != F.col("first.row")) | (F.col("unit") != F.col("first.unit"))
-    return (
-        rows.join(first, "digest")
-        .filter(later)
-        .select(
-            F.col("id").alias(id_column),
-            "row",
-            "unit",
-            "start",
-            "end",
-            "n_words",
-            F.lower(F.hex("digest")).alias("digest"),
-            F.col("first.id").alias("keep_id"),
-            F.col("first.unit").alias("keep_unit"),
-        )
+    places = ("row", "unit", "part")
+    later = F.lit(False)
+    for c in places:
+        later = later | (F.col(c) != F.col(f"first.{c}"))
+    removed = rows.join(first, "digest").filter(later)
+    if sentence_words is not None:
+        removed = keep(removed)
+        whole = removed.filter("part = 0").select("row", "unit")
+        inside = removed.filter("part > 0").join(whole, ["row", "unit"], "left_anti")
+        removed = removed.filter("part = 0").unionByName(inside)
+    return removed.select(
+        F.col("id").alias(id_column),
+        *places,
+        "start",
+        "end",
+        "n_words",
+        F.lower(F.hex("digest")).alias("digest"),
+        F.col("first.id").alias("keep_id"),
+        F.col("first.unit").alias("keep_unit"),
+        F.col("first.part").alias("keep_part"),
     )
 
 
 def cut_spans(docs: DataFrame, spans: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents without the spans ``start, end`` (characters) of their id and the line break behind each."""
-    ordered = F.sort_array(F.collect_list(F.struct("start", "end")))
+    """Documents without the spans ``start, end`` (characters) of their id, and without the line break behind whole units."""
+    behind = F.when(F.col("part") == 0, F.col("end") + 1).otherwise(F.col("end")) if "part" in spans.columns else F.col("end") + 1
+    ordered = F.sort_array(F.collect_list(F.struct("start", behind.alias("end"))))
     grouped = spans.groupBy(id_column).agg(ordered.alias("_spans"))
-    begin = "CASE WHEN i = 0 THEN 0 ELSE _spans[i - 1].end + 1 END"
+    begin = "CASE WHEN i = 0 THEN 0 ELSE _spans[i - 1].end END"
     stop = f"CASE WHEN i = size(_spans) THEN length({text}) ELSE _spans[i].start END"
     piece = f"substring({text}, {begin} + 1, greatest(0, {stop} - ({begin})))"
     kept = F.expr(f"array_join(transform(sequence(0, size(_spans)), i -> {piece}), '')")

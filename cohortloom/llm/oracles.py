@@ -1,15 +1,8 @@
 """DuckDB SQL for the corpus queries that SQL can express on whole tables."""
 
-LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+from registry.sql import CRC_TABLE, crc32
 
-#: CRC-32 of a list of bytes, over a table of its 256 remainders ``t``.
-CRC_TABLE = """SELECT list_transform(range(256), lambda i: list_reduce(
-    list_prepend(i, range(8)), lambda c, j: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END
-)) AS t"""
-CRC = "xor(list_reduce(list_prepend(4294967295, {}), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
-#: UTF-8 bytes of a text of code points below 2,048.
-BYTES = """flatten(list_transform(string_split({}, ''), lambda x: CASE
-    WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END))"""
+LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLES = {
     "op1_decontaminate": rf"""
@@ -110,33 +103,77 @@ placed AS (
     SELECT
         doc_id,
         unit,
-        length(line) AS n,
+        line,
         coalesce(sum(length(line) + 1) OVER (
             PARTITION BY doc_id ORDER BY unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
-        ), 0) AS span_start,
-        trim(regexp_replace(translate(line, {LOWER}), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
+        ), 0) AS line_start
     FROM lines
 ),
-counted AS (SELECT *, len(string_split(norm, ' ')) AS n_words FROM placed WHERE norm <> ''),
+pieces AS (
+    SELECT doc_id, unit, line_start, unnest(cut) AS piece, generate_subscripts(cut, 1) AS i, len(cut) AS n
+    FROM (
+        SELECT *, string_split(regexp_replace(line, '([.!?][ \t]+)', '\1' || chr(63743), 'g'), chr(63743)) AS cut FROM placed
+    )
+),
+sentences AS (
+    SELECT
+        doc_id,
+        unit,
+        i,
+        line_start + coalesce(sum(length(piece)) OVER (
+            PARTITION BY doc_id, unit ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+        ), 0) AS span_start,
+        CASE WHEN i = n THEN piece ELSE rtrim(piece, ' ' || chr(9)) END AS body
+    FROM pieces
+),
+bodies AS (
+    SELECT doc_id, unit, 0 AS i, line_start AS span_start, line AS body FROM placed
+    UNION ALL SELECT doc_id, unit, i, span_start, body FROM sentences
+),
+normal AS (
+    SELECT
+        doc_id,
+        unit,
+        i,
+        span_start,
+        length(body) AS n,
+        trim(regexp_replace(translate(body, {LOWER}), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
+    FROM bodies
+),
+counted AS (
+    SELECT
+        *,
+        len(string_split(norm, ' ')) AS n_words,
+        row_number() OVER (PARTITION BY doc_id, unit ORDER BY i) - 1 AS part,
+        count(*) OVER (PARTITION BY doc_id, unit) - 1 AS n_parts
+    FROM normal WHERE norm <> ''
+),
 ranked AS (
     SELECT
         *,
         row_number() OVER same AS place,
         first_value(doc_id) OVER same AS keep_id,
-        first_value(unit) OVER same AS keep_unit
-    FROM counted WHERE n_words >= 5
-    WINDOW same AS (PARTITION BY norm ORDER BY doc_id, unit)
-)
+        first_value(unit) OVER same AS keep_unit,
+        first_value(part) OVER same AS keep_part
+    FROM counted WHERE part = 0 OR n_parts > 1 AND n_words >= 8
+    WINDOW same AS (PARTITION BY norm ORDER BY doc_id, unit, part)
+),
+removed AS (SELECT * FROM ranked WHERE place > 1)
 SELECT
     doc_id,
     CAST(unit AS INTEGER) AS unit,
+    CAST(part AS INTEGER) AS part,
     CAST(span_start AS BIGINT) AS span_start,
     CAST(span_start + n AS BIGINT) AS span_end,
     CAST(n_words AS INTEGER) AS n_words,
     md5(norm) AS digest,
     keep_id,
-    CAST(keep_unit AS INTEGER) AS keep_unit
-FROM ranked WHERE place > 1
+    CAST(keep_unit AS INTEGER) AS keep_unit,
+    CAST(keep_part AS INTEGER) AS keep_part
+FROM removed AS r
+WHERE part = 0 OR NOT EXISTS (
+    SELECT 1 FROM removed AS w WHERE w.part = 0 AND w.doc_id = r.doc_id AND w.unit = r.unit
+)
 """,
     "op9_chunks": r"""
 WITH lines AS (
@@ -209,7 +246,7 @@ runs AS (
     WHERE length(word) >= 6 GROUP BY doc_id, word
 ),
 marked AS (
-    SELECT word, n, {CRC.format(BYTES.format("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || word"))} AS h FROM runs, crc
+    SELECT word, n, {crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || word")} AS h FROM runs, crc
 ),
 damaged AS (
     SELECT CASE WHEN h % 199 = 0
@@ -261,7 +298,7 @@ turns AS (
     FROM conversations WHERE conv_id IS NOT NULL
 ),
 convs AS (
-    SELECT conv_id, {CRC.format(BYTES.format("CAST(conv_id AS VARCHAR)"))} % 6 AS h
+    SELECT conv_id, {crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h
     FROM (SELECT DISTINCT conv_id FROM turns), crc
 ),
 placed AS (

@@ -31,10 +31,10 @@ URL_RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-# Fixed value: words of a line that the query's SQL compares.
-LINE_WORDS = 5
 # Fixed value: checksums of document and word that are a multiple of it plant a misspelling.
 DROP_EVERY = 199
+# Fixed value: words of a sentence that is compared inside a line that does not repeat; lines of any length are.
+SENTENCE_WORDS = 8
 # Conversations take the head of the one that every 100 share; the checksum of the id modulo 6 is its length.
 HEAD_EVERY = 100
 HEAD_TURNS = 6
@@ -79,7 +79,7 @@ def op3_suffix(spark, folder):
 
 
 def op4_lines(spark, folder):
-    rows = lines.repeated_units(table(spark, folder, "documents"), min_words=LINE_WORDS)
+    rows = lines.repeated_units(table(spark, folder, "documents"), sentence_words=SENTENCE_WORDS)
     return rows.drop("row").withColumnsRenamed({"start": "span_start", "end": "span_end"})
 
 

@@ -6,19 +6,13 @@ guaranteed minimum of the count filter. Posting lists of single bytes would hold
 a 256th of the corpus each and meet in pairs, so a list here belongs to six
 positions and their bytes: a pair meets in one of the 28 lists exactly when its
 tally reaches six. Inside a list the tally is taken over all eight positions,
-pairs below the minimum go, and the rest are verified by their bits. A list
+pairs below the minimum go, and the rest are verified by their bits. A long list finds its
+candidates by looking up what is one or two bits away, and tallies and verifies those. A list
 differs in two bytes only and so holds at most 65,536 distinct fingerprints,
 however many documents there are. It gives a spanning set of verified links, not
 all pairs; components of links are unchanged by that.
 
-With a similarity given, bits only find candidates. Nodes are then distinct sets
-of shingles, lists belong to two positions (all pairs within six bits meet, and
-98 % of those at seven), and a candidate is a link if the Jaccard similarity of
-its shingle sets reaches the limit. Members of a list meet by their distance in
-its order, near ones first; pairs that earlier links have joined already are not
-compared again, as they could not change a component. No other pair is left out.
-
-Equal fingerprints (or sets) are one node, so copies are never paired. Null texts and texts
+Equal fingerprints are one node, so copies are never paired. Null texts and texts
 without words have fingerprint zero. Rows without an id are fingerprinted; a
 component is named by its smallest id, which is null if it has none. An empty
 table gives no rows.
@@ -26,7 +20,6 @@ table gives no rows.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -37,16 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm.common import components, keep, numbered, stored_rows, texts_of, without
+from cohortloom.session import shuffle_width
 
 SHINGLE_WORDS = 3
 SEED = 42
 MAX_BITS = 2
 SHARED_BYTES = 6
-#: Positions of a candidate list, and distances in a list at which its members meet, round by round.
-WIDE_BYTES = 2
-REACHES = (6, 100, None)
 PART_BYTES = 1 << 20
-#: Lists up to this size are tallied as a matrix of pairs, larger ones by neighbour look-up.
+#: Lists up to this size are tallied as a matrix of all pairs, larger ones for looked-up neighbours.
 MATRIX = 256
 _WHITE = b" \t\n\r\x0b\x0c"
 
@@ -79,11 +70,6 @@ def _text_hashes(text: str | None, width: int) -> Iterator[np.ndarray]:
     return shingle_hashes((text or "").encode("utf-8", "surrogatepass").lower(), width)
 
 
-def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """The distinct shingle hashes, sorted."""
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *_text_hashes(text, width)]))
-
-
 def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
     """Bits set in more than half of the shingle hashes, as an unsigned integer."""
     return _voted(_text_hashes(text, width))
@@ -99,37 +85,26 @@ def _voted(parts: Iterator[np.ndarray]) -> int:
     return int.from_bytes(np.packbits(2 * votes > total).tobytes(), "big") if total else 0
 
 
-def _fingerprint_batches(words: int, sets: bool):
+def _fingerprint_batches(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, digests = [], []
-            for value in batch.column(2):
-                parts = list(_text_hashes(value.as_py(), words))
-                prints.append(_voted(iter(parts)))
-                if sets:
-                    distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]))
-                    digests.append(hashlib.md5(distinct.tobytes()).digest())
+            prints = [fingerprint(value.as_py(), words) for value in batch.column(2)]
             columns = [batch.column(0), batch.column(1), pa.array(np.array(prints, np.uint64).view(np.int64))]
-            columns += [pa.array(digests, pa.binary())] if sets else []
-            yield pa.RecordBatch.from_arrays(columns, ["row", "id", "fp", "shingles"][: len(columns)])
+            yield pa.RecordBatch.from_arrays(columns, ["row", "id", "fp"])
 
     return run
 
 
-def fingerprints(slim: DataFrame, words: int = SHINGLE_WORDS, sets: bool = False) -> DataFrame:
-    """``row, id, fp`` of rows ``row, id, text``; ``fp`` is the fingerprint as a signed integer.
-
-    With ``sets`` also ``shingles``, a digest of the set of shingles.
-    """
+def fingerprints(slim: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """``row, id, fp`` of rows ``row, id, text``; ``fp`` is the fingerprint as a signed integer."""
     kind = slim.schema["id"].dataType.simpleString()
-    schema = f"row bigint, id {kind}, fp bigint" + (", shingles binary" if sets else "")
-    return slim.mapInArrow(_fingerprint_batches(words, sets), schema)
+    return slim.mapInArrow(_fingerprint_batches(words), f"row bigint, id {kind}, fp bigint")
 
 
-def _masks(shared: int = SHARED_BYTES) -> list[int]:
+def _masks() -> list[int]:
     """A mask for each choice of the shared positions, as signed 64-bit integers."""
     masks = []
-    for places in combinations(range(8), shared):
+    for places in combinations(range(8), SHARED_BYTES):
         mask = sum(0xFF << (8 * p) for p in places)
         masks.append(mask - (1 << 64) if mask >= 1 << 63 else mask)
     return masks
@@ -143,8 +118,8 @@ def list_links(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links that span the verified pairs of one posting list (distinct unsigned fingerprints)."""
     members = np.sort(members)
     n = len(members)
+    octets = members.view(np.uint8).reshape(n, 8)
     if n <= MATRIX:
-        octets = members.view(np.uint8).reshape(n, 8)
         tally = (octets[:, None, :] == octets[None, :, :]).sum(axis=2)
         i, j = np.nonzero(np.triu(tally >= SHARED_BYTES, 1))
         close = _bits(members[i] ^ members[j]) <= MAX_BITS
@@ -160,6 +135,8 @@ def list_links(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             hit = np.nonzero((members[at] == to) & (members < to))[0]
             found.append((hit, at[hit]))
         i, j = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, int),) * 2
+        shared = (octets[i] == octets[j]).sum(axis=1) >= SHARED_BYTES
+        i, j = i[shared], j[shared]
     root = np.arange(n)
     while len(i):
         low = np.minimum(root[i], root[j])
@@ -185,123 +162,24 @@ def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def links(nodes: DataFrame) -> DataFrame:
     """Verified links ``a, b`` between the distinct fingerprints of ``nodes`` (column ``fp``)."""
     postings = F.array(*(F.struct(F.lit(i).alias("list"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(_masks())))
-    rows = nodes.select("fp", F.explode(postings).alias("p")).select("p.list", "p.key", "fp")
+    # Few and small: without a number of their own, the nodes would be multiplied in a task or two.
+    spread = nodes.select("fp").repartition(shuffle_width(nodes.sparkSession))
+    rows = spread.select("fp", F.explode(postings).alias("p")).select("p.list", "p.key", "fp")
     lists = rows.groupBy("list", "key").agg(F.collect_list("fp").alias("members")).filter(F.size("members") > 1)
     return lists.select("members").mapInArrow(_link_batches, "a bigint, b bigint")
 
 
-def list_pairs(members: np.ndarray, parts: np.ndarray, number: int, max_bits: int, near: int, far: int | None):
-    """Places of the pairs of one list that meet at distances above ``near`` up to ``far``.
-
-    ``members`` are sorted unsigned fingerprints, ``parts`` their components. Pairs
-    of one component are left out, and those that meet in an earlier list.
-    """
-    none = np.zeros(0, np.int64)
-    if (parts == parts[0]).all():
-        return none, none
-    places = list(combinations(range(8), WIDE_BYTES))[number]
-    earlier = [q for q in range(places[-1]) if q not in places]
-    found = [(none, none)]
-    for step in range(near + 1, min(len(members) - 1, far or len(members)) + 1):
-        x = members[step:] ^ members[:-step]
-        at = np.nonzero((_bits(x) <= max_bits) & (parts[step:] != parts[:-step]))[0]
-        for q in earlier:
-            at = at[(x[at] >> np.uint64(8 * q)) & np.uint64(0xFF) != 0]
-        found.append((at, at + step))
-    return tuple(np.concatenate(side) for side in zip(*found, strict=True))
-
-
-def _pair_batches(max_bits: int, near: int, far: int | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column, numbers = batch.column(1), batch.column(0).to_pylist()
-            edges = column.offsets.to_numpy()
-            prints, nodes, parts = (column.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-            sides = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
-            for number, s, e in zip(numbers, edges[:-1], edges[1:], strict=True):
-                own = prints[s:e].view(np.uint64)
-                order = np.lexsort((nodes[s:e], own))
-                met = list_pairs(own[order], parts[s:e][order], number, max_bits, near, far)
-                for side, at in zip(sides, met, strict=True):
-                    side.append(nodes[s:e][order[at]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in sides], ["a", "b"])
-
-    return run
-
-
-def _similar_batches(words: int, similarity: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for one, other in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = shingle_set(one.as_py(), words), shingle_set(other.as_py(), words)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(both / max(1, len(x) + len(y) - both) >= similarity)
-            yield batch.filter(pa.array(good, pa.bool_())).select([0, 1])
-
-    return run
-
-
-def similar_links(nodes: DataFrame, texts: DataFrame, words: int, max_bits: int, similarity: float) -> DataFrame:
-    """Links ``a, b`` that span the verified pairs of ``nodes`` (stored ``node, fp``); texts are ``row, text``."""
-    masks = enumerate(_masks(WIDE_BYTES))
-    postings = F.array(*(F.struct(F.lit(i).alias("list"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in masks))
-    rows = nodes.select("fp", "node", F.explode(postings).alias("p")).select("p.list", "p.key", "fp", "node")
-    member = F.struct("fp", "node", F.col("node").alias("part"))
-    lists = rows.groupBy("list", "key").agg(F.collect_list(member).alias("members"))
-    lists = keep(lists.filter(F.size("members") > 1))
-    found, open_, near = None, lists, 0
-    for far in REACHES:
-        met = open_.select("list", "members").mapInArrow(_pair_batches(max_bits, near, far), "a bigint, b bigint")
-        met = keep(met)
-        one = texts.select(F.col("row").alias("a"), F.col("text").alias("one"))
-        other = texts.select(F.col("row").alias("b"), F.col("text").alias("other"))
-        pairs = met.join(one, "a").join(other, "b").select("a", "b", "one", "other")
-        good = keep(pairs.mapInArrow(_similar_batches(words, similarity), "a bigint, b bigint"))
-        found = good if found is None else keep(found.unionAll(good))
-        if far is None:
-            break
-        open_ = lists.filter(F.size("members") > far + 1)
-        if open_.isEmpty():
-            break
-        roots = keep(components(found))
-        rows = open_.select("list", "key", F.explode("members").alias("m")).select("list", "key", "m.fp", "m.node")
-        member = F.struct("fp", "node", F.coalesce("root", "node").alias("part"))
-        rows = rows.join(roots, "node", "left").groupBy("list", "key").agg(F.collect_list(member).alias("members"))
-        open_, near = rows, far
-    return found
-
-
 def near_groups(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text: str = "text",
-    words: int = SHINGLE_WORDS,
-    max_bits: int = MAX_BITS,
-    similarity: float | None = None,
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """One row per document: its id, ``fp`` and ``component_id``, the smallest id that links reach.
-
-    Without a similarity, ``max_bits`` must be 2, which the lists of six positions stand for.
-    """
-    slim = numbered(docs, id_column, text)
-    groups = _groups(slim if similarity is None else keep(slim), words, max_bits, similarity)
+    """One row per document: its id, ``fp`` and ``component_id``, the smallest id that links reach."""
+    groups = _groups(numbered(docs, id_column, text), words)
     return groups.select(F.col("id").alias(id_column), "fp", F.col("first.id").alias("component_id"))
 
 
-def _groups(slim: DataFrame, words: int, max_bits: int, similarity: float | None) -> DataFrame:
+def _groups(slim: DataFrame, words: int) -> DataFrame:
     """``row, id, fp`` of rows ``row, id, text`` and ``first``: the row that stays of each component, smallest id first."""
     low = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("low")
-    if similarity is not None:
-        rows = keep(fingerprints(slim, words, sets=True))
-        nodes = keep(rows.groupBy("fp", "shingles").agg(low, F.min("row").alias("node")))
-        roots = components(similar_links(nodes.select("node", "fp"), slim, words, max_bits, similarity))
-        placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        names = placed.groupBy("root").agg(F.min("low").alias("first"))
-        table = placed.join(names, "root").select("fp", "shingles", "first")
-        return rows.join(table, ["fp", "shingles"]).select("row", "id", "fp", "first")
-    if max_bits != MAX_BITS:
-        raise ValueError(f"without a similarity the limit is {MAX_BITS} bits")
     rows = keep(fingerprints(slim, words))
     nodes = rows.groupBy("fp").agg(low)
     roots = components(links(nodes))
@@ -313,15 +191,8 @@ def _groups(slim: DataFrame, words: int, max_bits: int, similarity: float | None
     return rows.join(table, "fp").select("row", "id", "fp", "first")
 
 
-def near_dedup(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text: str = "text",
-    words: int = SHINGLE_WORDS,
-    max_bits: int = MAX_BITS,
-    similarity: float | None = None,
-) -> DataFrame:
+def near_dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
     """One row of each component, with its columns."""
     rows = stored_rows(docs)
-    groups = _groups(texts_of(rows, id_column, text), words, max_bits, similarity)
+    groups = _groups(texts_of(rows, id_column, text), words)
     return without(rows, keep(groups.filter("row <> first.row").select("row")))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import pytest
 
@@ -39,6 +40,46 @@ def test_units(documents, paragraphs):
     assert found == plain_units(corpus(), paragraphs)
 
 
+def plain_sentences(pairs, least):
+    """Whole lines, and sentences of the lines that stay, by one scan in order."""
+    seen, removed = {}, []
+    for i, text in sorted(pairs):
+        for k, (a, _, line) in enumerate(lines.units(text or "")):
+            bodies, at = [], 0
+            for m in re.finditer(r"[.!?]([ \t]+)", line):
+                bodies.append((at, m.start(1)))
+                at = m.end()
+            bodies = [(x, y) for x, y in [*bodies, (at, len(line))] if line[x:y].split()]
+            parts = [(0, 0, len(line))] + ([(p, x, y) for p, (x, y) in enumerate(bodies, 1)] if len(bodies) > 1 else [])
+            gone = False
+            for part, x, y in parts:
+                words = tuple(line[x:y].lower().split())
+                if len(words) < (least if part else 1):
+                    continue
+                first = seen.setdefault(words, (i, k, part))
+                if first != (i, k, part) and not (part and gone):
+                    removed.append((i, k, part, a + x, a + y, *first))
+                    gone = gone or not part
+    return sorted(removed)
+
+
+def test_sentences(documents):
+    rng = random.Random(5)
+    stock = ["One sentence of some length.", "Another one is here!", "Is this short?", "No.", "", "and an open end"]
+    pairs = [(k, "\n".join(" ".join(rng.choice(stock) for _ in range(rng.randrange(5))) + rng.choice(["", " ", "\t "]) for _ in range(4))) for k in range(40)]
+    pairs += [(100, None), (101, ""), (102, "One sentence of some length. " * 20_000), (103, "No.  \tNo. ")]
+    for least in (1, 3):
+        rows = lines.repeated_units(documents(pairs), sentence_words=least).collect()
+        found = sorted((r.doc_id, r.unit, r.part, r.start, r.end, r.keep_id, r.keep_unit, r.keep_part) for r in rows)
+        assert found == plain_sentences(pairs, least)
+
+
+def test_cut_sentences(documents):
+    docs = documents([(1, "This is one sentence. And two.\nend"), (2, "Here: new. This is one sentence.\nlast")])
+    kept = lines.cut_spans(docs, lines.repeated_units(docs, sentence_words=3)).collect()
+    assert {r.doc_id: r.text for r in kept} == {1: "This is one sentence. And two.\nend", 2: "Here: new. \nlast"}
+
+
 def test_cut(documents):
     docs = documents([(1, f"{SAME}\nkeep"), (2, f"a\n{SAME}\nb\n{SAME}"), (3, SAME), (4, None)])
     rows = lines.cut_spans(docs, lines.repeated_units(docs)).collect()
