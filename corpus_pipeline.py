@@ -1,4 +1,4 @@
-"""A corpus pipeline: quality, exact copies, near copies, benchmark passages, packing.
+"""A corpus pipeline: quality, exact copies, near copies (SimHash), benchmark passages, packing.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows of ``docs``; all
 but the last return documents with the columns they came with.
@@ -14,34 +14,38 @@ from cohortloom.plans.stages import SharedFolder
 from cohortloom.session import fresh_folder
 
 
-#: Near copies: words of a shingle, bits within which candidates are looked for, and their least Jaccard similarity.
-NEAR_WORDS = 5
-NEAR_BITS = 7
-NEAR_SIMILARITY = 0.8
-
-
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble accepts, learned from the labels of ``docs``."""
+    """Documents that the rule ensemble accepts, learned from the labels of ``docs``.
+
+    Null texts are scored as empty ones. Rows that repeat an id, and rows without one, are judged each by its own text.
+    """
     return quality.keep_quality(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of equal texts."""
+    """The document with the smallest id of each group of equal texts.
+
+    Null texts are empty ones. Of rows that repeat the smallest id one stays, a row without an id only where no other has its text.
+    """
     return exact.exact_dedup(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of near copies: runs of five words, similarity 0.8."""
-    return simhash.near_dedup(docs, words=NEAR_WORDS, max_bits=NEAR_BITS, similarity=NEAR_SIMILARITY)
+    """The document with the smallest id of each component of near copies: fingerprints of three words, two bits apart.
+
+    Null texts and texts without words have one fingerprint, so one of them stays. Of rows that repeat an id one stays, rows
+    without an id last. An empty table stays empty.
+    """
+    return simhash.near_dedup(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item."""
+    """Documents without a window of a benchmark item; rows are judged one by one, null and empty texts stay."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' tokens and their places in sequences."""
+    """Pieces of the documents' tokens and their places in sequences; a null or empty text is a piece with the end alone."""
     return packing.pack(docs)
 
 
