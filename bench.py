@@ -36,11 +36,12 @@ HEADLINES = (
     "latest_per_key",
     "best_run",
     "feature_importance",
-    "varimp",
-    "batch_predict",
+    "split_gains",
+    "class_balance",
+    "permutation_drops",
     "stacked_model",
 )
-# Whole searches of many fits, timed on request: python bench.py train_leaderboard run_pipeline
+# The same search again, timed on request: python bench.py train_leaderboard varimp batch_predict run_pipeline
 
 
 def run(query, spark) -> float:

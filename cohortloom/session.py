@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -28,8 +30,12 @@ def build_session(app: str = "cohortloom", master: str | None = None, **conf: st
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session zone of a session made elsewhere."""
+    """Pin the zone of a session made elsewhere, and let its Python workers find this package where the driver does."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    home = str(Path(__file__).resolve().parents[1])
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*paths, home])
     return spark
 
 
