@@ -2,7 +2,8 @@
 
 Lines are hashed, and a rolling hash over the last three line hashes chooses
 where a chunk ends, so boundaries depend on the lines nearby and come back after
-a shift. Chunks of two or more lines that occur again anywhere are removed, but
+a shift. A chunk ends after two lines at the earliest, so a single line joins the ones behind it; where
+lines repeat with a period of one or two, the rolling hash stands still and every second line ends a chunk. Chunks of two or more lines that occur again anywhere are removed, but
 for the occurrence that ranks first (smallest id, then place), after their bytes
 are compared.
 
@@ -40,16 +41,18 @@ def chunks(text: str) -> Iterator[tuple[int, int, int, int]]:
     """First line, lines, start and end (characters) of each chunk."""
     lines = text.split("\n")
     hashes = [int.from_bytes(hashlib.md5(x.encode("utf-8", "surrogatepass")).digest()[:4], "big") for x in lines]
-    first, start, at, rolling = 0, 0, 0, 0
+    first, start, at, rolling, before = 0, 0, 0, 0, (-1, -1)
     leaving = ROLLING_BASE**ROLLING_LINES
     for k, line in enumerate(lines):
         gone = hashes[k - ROLLING_LINES] if k >= ROLLING_LINES else 0
         rolling = rolling * ROLLING_BASE + hashes[k] - gone * leaving
         at += len(line)
-        if rolling % ROLLING_MODULUS % MEAN_LINES == 0 or k == len(lines) - 1:
+        ends = rolling % ROLLING_MODULUS % MEAN_LINES == 0 or rolling in before
+        if ends and k + 1 - first >= MIN_LINES or k == len(lines) - 1:
             yield first, k + 1 - first, start, at
             first, start = k + 1, at + 1
         at += 1
+        before = rolling, before[0]
 
 
 def _chunk_batches(bits):

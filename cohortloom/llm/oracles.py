@@ -187,16 +187,26 @@ hashed AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l
 rolled AS (
     SELECT
         *,
-        (h + 31 * lag(h, 1, 0) OVER doc + 961 * lag(h, 2, 0) OVER doc) % 1000003 % 4 = 0 AS ends,
+        h + 31 * lag(h, 1, 0) OVER doc + 961 * lag(h, 2, 0) OVER doc AS rolling,
         coalesce(sum(length(line) + 1) OVER (doc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS began
     FROM hashed
     WINDOW doc AS (PARTITION BY doc_id ORDER BY k)
 ),
-numbered AS (
-    SELECT *, coalesce(sum(CAST(ends AS INTEGER)) OVER (
-        PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
-    ), 0) AS chunk
+flagged AS (
+    SELECT *, rolling % 1000003 % 4 = 0 OR coalesce(rolling = lag(rolling, 1) OVER doc, FALSE)
+        OR coalesce(rolling = lag(rolling, 2) OVER doc, FALSE) AS ends
     FROM rolled
+    WINDOW doc AS (PARTITION BY doc_id ORDER BY k)
+),
+-- Places behind which a chunk ends: flagged ones at least two lines behind the last such place.
+cuts AS (
+    SELECT doc_id, list_reduce(list_prepend([CAST(0 AS BIGINT)], list([k + 1] ORDER BY k) FILTER (ends)),
+        lambda seen, place: CASE WHEN place[1] - seen[-1] >= 2 THEN list_concat(seen, place) ELSE seen END) AS places
+    FROM flagged GROUP BY doc_id
+),
+numbered AS (
+    SELECT f.*, CASE WHEN places IS NULL THEN 0 ELSE len(list_filter(places, lambda p: p <= k)) - 1 END AS chunk
+    FROM flagged AS f JOIN cuts USING (doc_id)
 ),
 chunks AS (
     SELECT

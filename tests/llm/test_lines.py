@@ -92,11 +92,12 @@ def plain_chunks(pairs):
         text = text or ""
         parts = text.split("\n")
         h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in parts]
+        rolling = [sum(31**j * h[k - j] for j in range(3) if k >= j) for k in range(len(parts))]
         runs, open_ = [], []
         for k in range(len(parts)):
             open_.append(k)
-            rolling = sum(31**j * h[k - j] for j in range(3) if k >= j)
-            if rolling % 1_000_003 % 4 == 0 or k == len(parts) - 1:
+            still = rolling[k] in rolling[max(0, k - 2) : k]
+            if (rolling[k] % 1_000_003 % 4 == 0 or still) and len(open_) >= 2 or k == len(parts) - 1:
                 runs.append(open_)
                 open_ = []
         for c, run in enumerate(runs):
@@ -119,6 +120,14 @@ def test_chunks(documents):
     assert len({r.doc_id for r in rows if r.doc_id >= 100}) == 20  # found again behind another first line
 
 
+def test_periodic_lines_are_cut(documents):
+    pairs = [(1, "\n".join(["same"] * 40)), (2, "other\n" + "\n".join(["one", "two"] * 50)), (3, "\n".join(["same"] * 31))]
+    rows = chunks.repeated_chunks(documents(pairs)).collect()
+    assert sorted((r.doc_id, r.chunk, r.line, r.n_lines) for r in rows) == sorted(x[:4] for x in plain_chunks(pairs))
+    lost = {i: sum(r.n_lines for r in rows if r.doc_id == i) for i in (1, 2, 3)}
+    assert lost[1] > 30 and lost[2] > 90 and lost[3] > 25
+
+
 def test_empty_repeated_and_missing(documents):
     assert lines.repeated_units(documents([])).count() == 0
     assert chunks.repeated_chunks(documents([])).count() == 0
