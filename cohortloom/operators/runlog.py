@@ -55,9 +55,12 @@ def latest_per_key(
     stage: str | None = None,
     stage_column: str = "stage",
 ) -> DataFrame:
-    """The record with the greatest version as a number, for each key."""
+    """The record with the greatest version as a number, for each key.
+
+    A version that is no number comes before all numbers; of equal numbers ("9", "09") the greater text wins.
+    """
     rows = df.filter(F.col(stage_column) == stage) if stage is not None else df
-    latest = F.max_by(F.struct(*df.columns), F.col(version).cast("bigint"))
+    latest = F.max_by(F.struct(*df.columns), F.struct(F.col(version).try_cast("bigint"), F.col(version)))
     return rows.groupBy(key).agg(latest.alias("latest")).select("latest.*")
 
 

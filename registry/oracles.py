@@ -437,6 +437,9 @@ ORACLES = {
     "stacked_model": """
         SELECT l_orderkey, l_linenumber, CAST(l_quantity > 25 AS INTEGER) AS is_big,
                CAST(l_quantity > 25 AS INTEGER) AS prediction FROM lineitem""",
+    "predict_registered": """
+        SELECT l_orderkey, l_linenumber, CAST(l_quantity > 25 AS INTEGER) AS is_big,
+               CAST(l_quantity > 25 AS INTEGER) AS prediction FROM lineitem""",
     "batch_predict": """
         SELECT l_orderkey, l_linenumber, l_shipdate, CAST(l_quantity > 25 AS INTEGER) AS is_big,
                CASE WHEN NOT (l_linenumber = 2 AND l_quantity < 5) THEN l_quantity END AS quantity,

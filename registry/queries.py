@@ -512,6 +512,16 @@ def batch_predict(spark, folder):
     return scored.select(*rows.columns, "prediction")
 
 
+def predict_registered(spark, folder):
+    rows, home = learnable(spark, folder), fresh_folder(spark, "models")
+    model = training.fit_one(rows, LEARNABLE, INPUTS, training.DEFAULT_GRID[0])
+    scoring.save_model(model, f"{home}/9", rows)
+    listed = [("big", "10", "Staging", f"{home}/10"), ("big", "9", "Production", f"{home}/9"), ("big", "8", "Production", f"{home}/8")]
+    versions = spark.createDataFrame(listed, "name string, version string, stage string, source string")
+    scored = scoring.predict_registered(rows, versions, "big", stage="Production")
+    return scored.select("l_orderkey", "l_linenumber", "is_big", "prediction")
+
+
 def predict_proba(spark, folder):
     scored = scored_lineitem(spark, folder).select(
         "l_orderkey",
@@ -662,6 +672,7 @@ QUERIES = {
     "model_auc": model_auc,
     "varimp": varimp,
     "batch_predict": batch_predict,
+    "predict_registered": predict_registered,
     "predict_proba": predict_proba,
     "monthly_stats": monthly_stats,
     "monthly_auc": monthly_auc,

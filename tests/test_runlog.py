@@ -59,3 +59,9 @@ def test_versions_compare_as_numbers(spark):
         model_version(df, "m", stage="Archived")
     with pytest.raises(ValueError, match="No versions found"):
         model_version(df, "absent")
+
+
+def test_versions_that_tie_or_are_no_numbers(spark):
+    rows = [("m", "9", "a"), ("m", "09", "b"), ("m", "x", "c"), ("n", "y", "d"), ("n", "z", "e")]
+    df = spark.createDataFrame(rows, "name string, version string, stage string")
+    assert {r["name"]: r["version"] for r in latest_per_key(df).collect()} == {"m": "9", "n": "z"}
