@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 import uuid
 from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The stages in the order in which they run.
 STAGE_ORDER = (
@@ -135,6 +138,10 @@ class StageStore:
         if entry["kind"] == "tables":
             tables = {k: self.spark.read.parquet(f"{entry['path']}/{k}") for k in entry["tables"]}
             return {**tables, **entry["value"]}
+        if entry["kind"] == "parts":
+            schema = StructType.fromJson(entry["schema"])
+            paths = [p["path"] for p in entry["parts"].values() if p["path"]]
+            return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
         return entry["value"]
 
     def has(self, name: str) -> bool:
@@ -175,8 +182,65 @@ class StageStore:
         return True
 
     def _delete_data(self, entry: Mapping[str, Any]) -> None:
-        if "path" in entry:
-            self.folder.delete(entry["path"])
+        for path in [entry.get("path"), *(p["path"] for p in entry.get("parts", {}).values())]:
+            if path:
+                self.folder.delete(path)
+
+    def run_parts(self, name: str, source: DataFrame, part: Column, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """A stage by parts (months, say): only parts that are new or whose rows have changed are built and written.
+
+        ``part`` names a row's part, in ``source`` and in what ``build`` makes of it; ``build`` must work on each part by
+        itself. A part's rows are told by their number and the sum of their hashes, from one pass over the source. All
+        parts to be built are written by one job, each to a folder of its own; the manifest takes them in after that.
+        Parts that the source no longer has go. Rows whose part is null are a part.
+        """
+        key = F.coalesce(part.cast("string"), F.lit("null"))
+        hashed = F.sum(F.xxhash64(*source.columns).cast("decimal(38,0)"))
+        rows = source.groupBy(key.alias("part")).agg(F.count(F.lit(1)).alias("n"), hashed.alias("sum")).collect()
+        now = {r["part"]: f"{r['n']}:{r['sum']}" for r in rows}
+        odd = [p for p in now if not re.fullmatch(r"[\w.-]+", p)]
+        if odd:
+            raise ValueError(f"parts of {name} cannot name folders: {odd[:5]}")
+        entry = self.state.get(name, {})
+        known = entry.get("parts", {}) if entry.get("kind") == "parts" else {}
+        kept = {p: v for p, v in known.items() if now.get(p) == v["digest"] and (not v["path"] or self.folder.exists(v["path"]))}
+        todo = sorted(set(now) - set(kept))
+        if not todo and len(kept) == len(known) and known:
+            return self.load(name)
+        made = build(source.filter(key.isin(todo)))
+        path, stamp = self.folder.at(f"{name}-{uuid.uuid4().hex}"), dt.datetime.now(dt.UTC).isoformat()
+        if todo:
+            made.withColumn("_part", key).write.partitionBy("_part").parquet(path)
+        folders = {p: f"{path}/_part={p}" for p in todo}
+        fresh = {
+            p: {"digest": now[p], "path": f if self.folder.exists(f) else None, "timestamp": stamp} for p, f in folders.items()
+        }
+        self.state[name] = {
+            "kind": "parts",
+            "metadata": {"stage": name, "built": todo},
+            "schema": made.schema.jsonValue(),
+            "parts": {**kept, **fresh},
+            "timestamp": stamp,
+        }
+        self._write_state()
+        if entry:
+            self._delete_data({**entry, "parts": {p: v for p, v in known.items() if p not in kept}})
+        return self.load(name)
+
+    def clear_part(self, name: str, part: str) -> bool:
+        """Drop one part, so that the next run builds it again; False when it is not stored."""
+        gone = self.state.get(name, {}).get("parts", {}).pop(part, None)
+        if gone is None:
+            return False
+        self._write_state()
+        self._delete_data({"parts": {part: gone}})
+        return True
+
+    def part_status(self, name: str) -> DataFrame:
+        """One row per stored part: ``part, timestamp``, in the order of names."""
+        parts = self.state.get(name, {}).get("parts", {})
+        rows = [(p, v["timestamp"]) for p, v in sorted(parts.items())]
+        return self.spark.createDataFrame(rows, "part string, timestamp string")
 
     def run_stage(
         self,

@@ -544,6 +544,14 @@ def run_stage(spark, folder):
     return stored
 
 
+def run_stage_months(spark, folder):
+    store, rows = StageStore(spark, fresh_folder(spark, "stages")), holed_orders(spark, folder)
+    month = C.month_key(C.month_start("o_orderdate"))
+    for part in (rows.filter(F.col("o_orderdate") < "1998-01-01"), rows):  # the second run adds the months of 1998
+        stored = store.run_parts("preprocessed_data", part, month, lambda df: prepare.preprocess(df, ORDERS, check=False))
+    return stored
+
+
 def pipeline_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Line items are not unique by key, so each key and status is summed up to one row first."""
     lineitem = table(spark, folder, "lineitem")
@@ -678,6 +686,7 @@ QUERIES = {
     "monthly_auc": monthly_auc,
     "monthly_performance": monthly_performance,
     "run_stage": run_stage,
+    "run_stage_months": run_stage_months,
     "run_pipeline": run_all_stages,
     "valid_metrics": valid_metrics,
     "best_run": best_run,

@@ -3,6 +3,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortloom import PipelineSpec
 from cohortloom.plans.pipeline import PipelineOptions, choose_features, run_pipeline
@@ -57,6 +58,51 @@ def test_clear_restart_and_status(spark, tmp_path):
     assert store.clear_all() and store.list() == {}
 
 
+def test_only_new_and_changed_parts_are_built(spark, tmp_path):
+    store, built = StageStore(spark, str(tmp_path)), []
+
+    def build(df):
+        built.append(sorted(r["month"] for r in df.select("month").distinct().collect()))
+        return df.withColumn("double", df.n * 2)
+
+    def run(rows):
+        df = spark.createDataFrame(rows, "month string, n long")
+        table = StageStore(spark, str(tmp_path)).run_parts("preprocessed_data", df, F.col("month"), build)
+        assert sorted(map(tuple, table.collect()), key=str) == sorted(((m, n, 2 * n) for m, n in rows), key=str)
+        return table
+
+    rows = [("2024-01", 1), ("2024-01", 2), ("2024-02", 3), ("2024-02", 3)]
+    run(rows)
+    run([*rows[2:], *rows[:2]])
+    assert built == [["2024-01", "2024-02"]]
+    rows.append(("2024-03", 4))
+    before = {p for p in tmp_path.rglob("*.parquet")}
+    run(rows)
+    assert built[1:] == [["2024-03"]]
+    new = {p for p in tmp_path.rglob("*.parquet")} - before
+    assert {p.parent.name for p in new} == {"_part=2024-03"} and before <= set(tmp_path.rglob("*.parquet"))
+    rows[0] = ("2024-01", 7)
+    run(rows[:2] + rows[4:])  # one part changes, one goes
+    assert built[2:] == [["2024-01"]]
+    store = StageStore(spark, str(tmp_path))
+    assert [r["part"] for r in store.part_status("preprocessed_data").collect()] == ["2024-01", "2024-03"]
+    assert len({p.parent.name for p in tmp_path.rglob("*.parquet")}) == 2
+    assert store.clear_part("preprocessed_data", "2024-03") and not store.clear_part("preprocessed_data", "2024-03")
+    run(rows[:2] + rows[4:])
+    assert built[3:] == [["2024-03"]]
+    assert store.clear("no such stage") is False
+    assert StageStore(spark, str(tmp_path)).clear("preprocessed_data") and not list(tmp_path.rglob("*.parquet"))
+
+
+def test_parts_without_rows_and_with_odd_names(spark, tmp_path):
+    store = StageStore(spark, str(tmp_path))
+    df = spark.createDataFrame([("a", 1), (None, 2)], "month string, n long")
+    assert store.run_parts("preprocessed_data", df, F.col("month"), lambda d: d.filter("n > 1")).collect()[0]["n"] == 2
+    assert store.run_parts("preprocessed_data", df.limit(0), F.col("month"), lambda d: d).count() == 0
+    with pytest.raises(ValueError, match="cannot name folders"):
+        store.run_parts("preprocessed_data", df.replace("a", "a/b"), F.col("month"), lambda d: d)
+
+
 def test_lost_data_counts_as_not_stored(spark, tmp_path):
     store = StageStore(spark, str(tmp_path))
     store.save("preprocessed_data", spark.range(1))
