@@ -73,6 +73,25 @@ def conditional_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     return _aggregate(df, spec.entities, {f.name: sql for f, sql in zip(spec.features(), aggregates, strict=True)})
 
 
+def state_prefixes(spec: FeatureSpec) -> dict[tuple[str, tuple[Condition, ...]], str]:
+    """A short name for each column and conditions that features share."""
+    shared = dict.fromkeys((f.column, f.conditions) for f in spec.features())
+    return {key: f"s{i}" for i, key in enumerate(shared)}
+
+
+def partial_states(df: DataFrame, spec: FeatureSpec) -> dict[str, str]:
+    """SQL of the aggregates, without windows, that all features are put together from: ``<prefix>_<part>``."""
+    values = _Values(df)
+    prefixes = state_prefixes(spec)
+    states: dict[str, str] = {}
+    for feature in spec.features():
+        for part in _STATES[feature.aggregation]:
+            value = values.number(feature.column) if part in _NUMERIC_STATES else f"`{feature.column}`"
+            held = f"CASE WHEN {_all_of(feature.conditions)} THEN {value} END"
+            states[f"{prefixes[feature.column, feature.conditions]}_{part}"] = _STATE_SQL[part].format(held)
+    return states
+
+
 def lookback_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """The same features for look-backs that end at one moment, so that they nest.
 
@@ -84,7 +103,6 @@ def lookback_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     second aggregate would be as wide as the output.
     """
     check_columns(df, spec)
-    values = _Values(df)
     windows = sorted(spec.windows, key=_length)
     reach = {w: i for i, w in enumerate(windows)}
     # A row of a window that is not in the next longer one would be counted there: the job fails.
@@ -96,14 +114,7 @@ def lookback_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     ring = nested + " " + " ".join(f"WHEN `{w}` THEN {i}" for w, i in reach.items())
     features = spec.features()
 
-    states: dict[str, str] = {}
-    prefixes: dict[tuple[str, tuple[Condition, ...]], str] = {}
-    for feature in features:
-        prefix = prefixes.setdefault((feature.column, feature.conditions), f"s{len(prefixes)}")
-        for part in _STATES[feature.aggregation]:
-            value = values.number(feature.column) if part in _NUMERIC_STATES else f"`{feature.column}`"
-            held = f"CASE WHEN {_all_of(feature.conditions)} THEN {value} END"
-            states[f"{prefix}_{part}"] = _STATE_SQL[part].format(held)
+    prefixes, states = state_prefixes(spec), partial_states(df, spec)
     ringed = df.withColumn("_ring", F.expr(f"CASE {ring} ELSE {len(windows)} END"))
     rings = _aggregate(ringed, [*spec.entities, "_ring"], states)
 

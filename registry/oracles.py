@@ -56,6 +56,24 @@ def feature_sql(columns: dict[str, list[str]], windows=tuple(WINDOW_DAYS), extra
     )
 
 
+def snapshot_sql(columns: dict[str, list[str]]) -> str:
+    """The features of 30 snapshots: events joined to every snapshot whose longest look-back holds them."""
+    windows = ",\n         ".join(
+        f"(epoch_us(ts) // 1000) BETWEEN as_of_ms - {WINDOW_DAYS[name]} * CAST(86400000 AS BIGINT) AND as_of_ms AS {name}"
+        for name in SHORT_WINDOWS
+    )
+    prepared = f"""
+  SELECT user_id, partition_date, event_id, value, CAST(round(value * 100) AS BIGINT) AS value_cents,
+         COALESCE(event_type = 'error', FALSE) AS is_error, (epoch_us(ts) // 1000) AS event_unix_ts,
+         {windows}
+  FROM events, (
+    SELECT CAST(d AS DATE) AS partition_date, epoch_ms(d - INTERVAL 7 HOURS) AS as_of_ms
+    FROM range(TIMESTAMP '2024-01-02', TIMESTAMP '2024-02-01', INTERVAL 1 DAY) AS t(d)) AS s
+  WHERE (epoch_us(ts) // 1000) BETWEEN as_of_ms - 30 * CAST(86400000 AS BIGINT) AND as_of_ms
+"""
+    return feature_sql(columns, SHORT_WINDOWS).replace(PREPARED, prepared)
+
+
 SCORED = """
   SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m') AS month,
          CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS label,
@@ -291,6 +309,15 @@ ORACLES = {
             "value_cents": ["AVG", "STDDEV"],
         }
     ),
+    "feat_snapshots": snapshot_sql(
+        {
+            "event_id": ["COUNT"],
+            "is_error": ["MAX", "AVG"],
+            "event_unix_ts": ["MAX"],
+            "value": ["MIN", "MAX"],
+            "value_cents": ["AVG", "STDDEV"],
+        }
+    ),
     "drift_months": """
         WITH months AS (
           SELECT strftime(l_shipdate, '%Y-%m') AS month, count(*) AS n_rows FROM lineitem

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions import columns as C
-from cohortloom.operators import drift, evaluate, features, prepare, quality, runlog, split
+from cohortloom.operators import drift, evaluate, features, prepare, quality, runlog, split, tiles
 from cohortloom.operators import score as scoring
 from cohortloom.operators import train as training
 from cohortloom.plans.pipeline import run_pipeline
@@ -118,6 +118,30 @@ def event_features(columns: dict[str, list[str]], windows: tuple[str, ...] = WIN
     return query
 
 
+SNAPSHOTS = tuple(f"2024-01-{day:02}" for day in range(2, 32))
+TILED = {
+    "event_id": ["COUNT"],
+    "is_error": ["MAX", "AVG"],
+    "event_unix_ts": ["MAX"],
+    "value": ["MIN", "MAX"],
+    "value_cents": ["AVG", "STDDEV"],
+}
+
+
+def feat_snapshots(spark, folder):
+    """Features of every user for each of 30 snapshots, from one scan."""
+    events = table(spark, folder, "events").select(
+        "user_id",
+        "event_id",
+        "value",
+        F.round(F.col("value") * 100).cast("bigint").alias("value_cents"),
+        C.flag_case("event_type", "error").alias("is_error"),
+        C.epoch_millis("ts").alias("event_unix_ts"),
+    )
+    spec = event_spec(TILED, SHORT_WINDOWS)
+    return rounded(tiles.snapshot_features(events, spec, F.col("event_unix_ts"), SNAPSHOTS, ZONE))
+
+
 # --- scans and sinks
 
 
@@ -667,6 +691,7 @@ QUERIES = {
     "feat_avg": event_features({"value_cents": ["AVG"], "is_error": ["AVG"]}),
     "feat_stddev": event_features({"value_cents": ["STDDEV"]}),
     "feat_wide": event_features(WIDE),
+    "feat_snapshots": feat_snapshots,
     "drift_months": drift_months,
     "ks_stat": ks_stat,
     "shifting_features": shifting_features,

@@ -1,0 +1,138 @@
+"""Day tiles: snapshots from one scan against one run per snapshot, stored days, and odd look-backs."""
+
+import math
+import random
+
+import pytest
+from compare import TESTDATA
+from pyspark.sql import functions as F
+
+from cohortloom import FeatureSpec
+from cohortloom.functions import columns as C
+from cohortloom.operators import tiles
+from cohortloom.operators.features import conditional_features
+from cohortloom.plans.stages import StageStore
+from registry.queries import QUERIES
+
+DAY = 86_400_000
+ZONE = "Asia/Jakarta"
+WINDOWS = ("l1d", "l3d", "l2w")
+SNAPSHOTS = ["2024-01-03", "2024-01-04", "2024-01-10", "2024-02-05"]
+FIRST = tiles.midnight_millis("2024-01-01", ZONE)
+
+
+def spec(windows=WINDOWS):
+    conditions = ["TRUE", {"is_error": "is_error"}, {"is_noterror": "(NOT is_error)"}]
+    columns = {"id": ["COUNT"], "value": ["MIN", "MAX", "AVG", "STDDEV"], "is_error": ["MIN", "MAX", "AVG"]}
+    return FeatureSpec.from_dict(
+        {
+            "feature_category": "snap_v1",
+            "feature_type": "batch",
+            "created_by": "tests",
+            "team_name": "tests",
+            "entities": ["user", "partition_date"],
+            "col_agg_dict": {c: {"conditions": [True, False, False, True], "aggregations": a} for c, a in columns.items()},
+            "condition_name_0": conditions,
+            "condition_name_1": ["TRUE"],
+            "condition_name_2": ["TRUE"],
+            "time_cond_dict": list(windows),
+        }
+    )
+
+
+def events(spark, rows):
+    return spark.createDataFrame(rows, "user long, id long, value double, is_error boolean, time long, extra string")
+
+
+@pytest.fixture(scope="module")
+def rows():
+    draw = random.Random(3)
+    found = []
+    for i in range(900):
+        # A third of the rows are of one user; a fifth lie at a midnight or a millisecond beside it.
+        user = None if i % 50 == 7 else 0 if i % 3 == 0 else draw.randrange(1, 9)
+        time = FIRST + draw.randrange(-3 * DAY, 40 * DAY)
+        if i % 5 == 0:
+            time = FIRST + draw.randrange(-1, 37) * DAY + draw.choice([-1, 0, 0, 1])
+        value = None if draw.random() < 0.1 else 1e9 + draw.random()
+        found.append((user, None if i % 11 == 0 else i, value, draw.choice([True, False, None]), time, "x"))
+    return found + [(3, 1, 2.0, True, None, "no time"), (77, 1, 2.0, True, FIRST + 9 * DAY, "once")]
+
+
+def same(found, expected):
+    assert found.keys() == expected.keys()
+    for key, row in expected.items():
+        for name, value in row.items():
+            if isinstance(value, float) and value is not None:
+                close = math.isclose(found[key][name], value, rel_tol=1e-9, abs_tol=2e-6 if "stddev" in name else 0)
+                assert close, (key, name, found[key][name], value)
+            else:
+                assert found[key][name] == value, (key, name)
+
+
+def by_entity(df):
+    rows = df.collect()
+    found = {(r["user"], str(r["partition_date"])): r.asDict() for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def one_by_one(df):
+    """One run of the plain wide aggregate per snapshot, over the rows of its longest look-back."""
+    expected = {}
+    for date in SNAPSHOTS:
+        flags = C.window_flags(F.col("time"), C.as_of_millis(date, ZONE), WINDOWS)
+        flagged = df.withColumn("partition_date", C.as_date(date)).withColumns(flags)
+        expected |= by_entity(conditional_features(flagged.filter("l2w"), spec()))
+    return expected
+
+
+def test_snapshots_equal_one_run_each(spark, rows):
+    df = events(spark, rows)
+    wide = tiles.snapshot_features(df, spec(), F.col("time"), SNAPSHOTS, ZONE)
+    expected = one_by_one(df)
+    assert wide.columns == ["user", "partition_date", *(f.name for f in spec().features())]
+    assert (77, "2024-01-10") in expected and (77, "2024-01-04") not in expected
+    same(by_entity(wide), expected)
+
+
+def test_order_of_snapshots_and_partitions_does_not_matter(spark, rows):
+    df = events(spark, rows)
+    one = tiles.snapshot_features(df.repartition(1), spec(), F.col("time"), SNAPSHOTS, ZONE)
+    other = tiles.snapshot_features(df.repartition(7), spec(), F.col("time"), SNAPSHOTS[::-1], ZONE)
+    same(by_entity(one), by_entity(other))
+
+
+def test_a_new_day_builds_that_day_only(spark, rows, tmp_path):
+    df = events(spark, rows)
+    phase = tiles.day_phase(SNAPSHOTS, ZONE)
+    store = StageStore(spark, str(tmp_path))
+    early = df.filter(F.col("time") < FIRST + 9 * DAY)
+    tiles.stored_tiles(store, "tiles", early, spec(), F.col("time"), phase)
+    one_more = df.filter(F.col("time") < FIRST + 10 * DAY)
+    stored = tiles.stored_tiles(store, "tiles", one_more, spec(), F.col("time"), phase)
+    assert len(store.info("tiles")["metadata"]["built"]) == 1
+    same(by_entity(tiles.tile_features(stored, spec(), SNAPSHOTS, ZONE)), one_by_one(one_more))
+
+
+def test_empty_table(spark):
+    wide = tiles.snapshot_features(events(spark, []), spec(), F.col("time"), SNAPSHOTS, ZONE)
+    assert wide.count() == 0
+
+
+def test_odd_requests(spark, rows):
+    df = events(spark, rows)
+    with pytest.raises(ValueError, match="whole days"):
+        tiles.snapshot_features(df, spec(("l6h",)), F.col("time"), SNAPSHOTS, ZONE)
+    with pytest.raises(ValueError, match="no fixed length"):
+        tiles.snapshot_features(df, spec(("l1m",)), F.col("time"), SNAPSHOTS, ZONE)
+    with pytest.raises(ValueError, match="clocks of Europe/Berlin"):
+        tiles.day_phase(["2024-03-30", "2024-04-02"], "Europe/Berlin")
+    with pytest.raises(ValueError, match="lacks columns"):
+        tiles.snapshot_features(df.drop("value"), spec(), F.col("time"), SNAPSHOTS, ZONE)
+
+
+def test_events_are_read_once_and_tiles_moved_to_their_entity(spark):
+    text = QUERIES["feat_snapshots"](spark, str(TESTDATA / "sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "props" not in text
+    assert text.count("Exchange") == 2
