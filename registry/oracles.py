@@ -329,6 +329,10 @@ ORACLES = {
         WITH {ks_ctes("orders", "o_orderdate", "1995-01-01", ["o_totalprice"])}
         SELECT feature, round(max(ks), 9) AS peak_ks, min(CASE WHEN ks > 0.3 THEN month END) AS first_month
         FROM ks GROUP BY feature HAVING max(ks) > 0.3""",
+    "shifting_by_ledger": f"""
+        WITH {KS_LINEITEM}
+        SELECT feature, round(max(ks), 9) AS peak_ks, min(CASE WHEN ks > 0.07 THEN month END) AS first_month
+        FROM ks GROUP BY feature HAVING max(ks) > 0.07""",
     "class_weights": """
         SELECT quality AS class, count(*) AS n,
                ((SELECT count(*) FROM labels WHERE quality IS NOT NULL)

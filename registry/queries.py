@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions import columns as C
-from cohortloom.operators import drift, evaluate, features, prepare, quality, runlog, split, tiles
+from cohortloom.operators import drift, evaluate, features, ledger, prepare, quality, runlog, split, tiles
 from cohortloom.operators import score as scoring
 from cohortloom.operators import train as training
 from cohortloom.plans.pipeline import run_pipeline
@@ -27,6 +27,7 @@ CONDITIONS = ["TRUE", {"is_error": "is_error"}, {"is_noterror": "(NOT is_error)"
 OOT_START = "2000-01-01"
 DRIFT_START = "1996-01-01"
 LOW_THRESHOLD = 0.1
+LEDGER_THRESHOLD = 0.07
 
 ORDERS = PipelineSpec(
     id_columns=("o_orderkey",),
@@ -392,6 +393,15 @@ def shifting_features(spark, folder):
     return drift.shifting_features(ks).withColumn("peak_ks", F.round("peak_ks", 9))
 
 
+def shifting_by_ledger(spark, folder):
+    """A ledger of the line items' first two years, then the months that it lacks; answered from its counts."""
+    lineitem = table(spark, folder, "lineitem")
+    book = ledger.DriftLedger(spark, fresh_folder(spark, "ledger"), LINEITEM)
+    book.update(lineitem.filter(F.col("l_shipdate") < C.as_time("1998-01-01")))
+    book.update(lineitem)
+    return book.shifting(lineitem, LEDGER_THRESHOLD).withColumn("peak_ks", F.round("peak_ks", 9))
+
+
 # --- evaluation
 
 
@@ -695,6 +705,7 @@ QUERIES = {
     "drift_months": drift_months,
     "ks_stat": ks_stat,
     "shifting_features": shifting_features,
+    "shifting_by_ledger": shifting_by_ledger,
     "feature_importance": feature_importance,
     "split_gains": split_gains,
     "class_weights": class_weights,
