@@ -6,7 +6,7 @@ import datetime as dt
 import json
 import re
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.ml import PipelineModel
@@ -126,6 +126,59 @@ class StageStore:
         if previous:
             self._delete_data(previous)
 
+    def save_bucketed(
+        self,
+        name: str,
+        df: DataFrame,
+        by: Sequence[str],
+        buckets: int,
+        accept: Callable[[], Mapping[str, Any]] | None = None,
+    ) -> None:
+        """Store a table in buckets of ``by``, sorted in each, so that grouping or joining by it moves no rows.
+
+        Rows should come partitioned by these columns into as many parts, else
+        buckets are of several files; they are read alike. ``accept`` is called after the write and before the
+        stage enters the manifest; its result is the metadata, and if it raises, what was written goes.
+        """
+        path, table = self.folder.at(f"{name}-{uuid.uuid4().hex}"), f"stage_{uuid.uuid4().hex}"
+        try:
+            writer = df.write.format("parquet").bucketBy(buckets, *by).sortBy(*by).option("path", path)
+            writer.saveAsTable(table)
+            metadata = dict(accept() if accept else {})
+        except BaseException:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.folder.delete(path)
+            raise
+        previous = self.state.get(name)
+        self.state[name] = {
+            "metadata": metadata,
+            "kind": "bucketed",
+            "path": path,
+            "table": table,
+            "by": list(by),
+            "buckets": buckets,
+            "schema": self.spark.table(table).schema.jsonValue(),
+            "timestamp": dt.datetime.now(dt.UTC).isoformat(),
+            "size_mb": round(self.folder.size(path) / 2**20, 2),
+        }
+        self._write_state()
+        if previous:
+            self._delete_data(previous)
+
+    def _load_bucketed(self, entry: Mapping[str, Any]) -> DataFrame:
+        """The table by its name; a session that does not know the name gets it from the files."""
+        if not self.spark.catalog.tableExists(entry["table"]):
+            columns = ", ".join(
+                f"`{f.name}` {f.dataType.simpleString()}" for f in StructType.fromJson(entry["schema"]).fields
+            )
+            by = ", ".join(f"`{c}`" for c in entry["by"])
+            path = entry["path"].replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE {entry['table']} ({columns}) USING parquet "
+                f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {entry['buckets']} BUCKETS LOCATION '{path}'"
+            )
+        return self.spark.table(entry["table"])
+
     def load(self, name: str) -> Result | None:
         """The stored result, or None when there is none."""
         if not self.has(name):
@@ -133,6 +186,8 @@ class StageStore:
         entry = self.state[name]
         if entry["kind"] == "table":
             return self.spark.read.parquet(entry["path"])
+        if entry["kind"] == "bucketed":
+            return self._load_bucketed(entry)
         if entry["kind"] == "model":
             return PipelineModel.load(entry["path"])
         if entry["kind"] == "tables":
@@ -182,6 +237,8 @@ class StageStore:
         return True
 
     def _delete_data(self, entry: Mapping[str, Any]) -> None:
+        if entry.get("kind") == "bucketed":
+            self.spark.sql(f"DROP TABLE IF EXISTS {entry['table']}")  # its files are not the catalogue's
         for path in [entry.get("path"), *(p["path"] for p in entry.get("parts", {}).values())]:
             if path:
                 self.folder.delete(path)

@@ -370,6 +370,10 @@ ORACLES = {
         SELECT o_orderkey, o_orderstatus, o_orderdate,
                ceil(COALESCE(o_totalprice, -999999) * 100) / 100 AS o_totalprice,
                COALESCE(o_orderpriority, '-999999') AS o_orderpriority FROM ({HOLED_ORDERS}) AS o""",
+    "run_stage_checked": f"""
+        SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'O' ELSE o_orderstatus END AS o_orderstatus, o_orderdate,
+               ceil(COALESCE(o_totalprice, -999999) * 100) / 100 AS o_totalprice,
+               COALESCE(o_orderpriority, '-999999') AS o_orderpriority FROM ({HOLED_ORDERS}) AS o""",
     "valid_metrics": """
         SELECT event_id, user_id, event_type, value FROM events
         WHERE event_type NOT IN ('error', 'view', 'click', 'signup') AND value IS NOT NULL AND isfinite(value)""",

@@ -11,6 +11,7 @@ from cohortloom.functions import columns as C
 from cohortloom.operators import drift, evaluate, features, ledger, prepare, quality, runlog, split, tiles
 from cohortloom.operators import score as scoring
 from cohortloom.operators import train as training
+from cohortloom.plans.checked import run_checked
 from cohortloom.plans.pipeline import run_pipeline
 from cohortloom.plans.stages import StageStore
 from cohortloom.session import fresh_folder, use_utc
@@ -588,6 +589,16 @@ def run_stage_months(spark, folder):
     return stored
 
 
+def run_stage_checked(spark, folder):
+    """Orders of two states, checked while they are stored in buckets of their key; then loaded."""
+    open_ = F.when(F.col("o_orderstatus") == "P", "O").otherwise(F.col("o_orderstatus"))
+    orders = holed_orders(spark, folder).withColumn("o_orderstatus", open_)
+    store = StageStore(spark, fresh_folder(spark, "stages"))
+    for _ in range(2):
+        stored = run_checked(store, "preprocessed_data", orders, ORDERS)
+    return stored
+
+
 def pipeline_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Line items are not unique by key, so each key and status is summed up to one row first."""
     lineitem = table(spark, folder, "lineitem")
@@ -725,6 +736,7 @@ QUERIES = {
     "monthly_performance": monthly_performance,
     "run_stage": run_stage,
     "run_stage_months": run_stage_months,
+    "run_stage_checked": run_stage_checked,
     "run_pipeline": run_all_stages,
     "valid_metrics": valid_metrics,
     "best_run": best_run,

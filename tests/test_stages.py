@@ -142,7 +142,8 @@ def test_a_folder_belongs_to_one_run(spark, tmp_path):
         other.claim("one")
 
 
-def test_pipeline_runs_and_resumes(spark, tmp_path):
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_pipeline_runs_and_resumes(spark, tmp_path, buckets):
     draw = random.Random(4)
     rows = []
     for i in range(600):
@@ -155,7 +156,7 @@ def test_pipeline_runs_and_resumes(spark, tmp_path):
         rows, "risk_id long, label int, partition_date timestamp_ntz, a double, b double, moving double, c double"
     )
     spec = PipelineSpec(("risk_id",), "label", "partition_date", "2024-01-01", oot_start="2024-04-01")
-    options = PipelineOptions(ranking_rounds=2, grid=tuple(families(2)), stack=False)
+    options = PipelineOptions(ranking_rounds=2, grid=tuple(families(2)), stack=False, buckets=buckets)
     folder, output = str(tmp_path / "stages"), str(tmp_path / "out")
     first = run_pipeline(df, spec, folder, options, output)
     assert first["shifting_features"] == ["moving"] and set(first["final_features"]) == {"a", "b", "c"}
