@@ -14,8 +14,9 @@ character, one more if backslashes are there already, so they can be put back.
 The loss mask is a list of spans (code points) of assistant texts in the output.
 
 Null roles and texts are empty. A message whose parent is missing is a root.
-Messages on or under a cycle are on no path and are left out. Ids must be unique
-in their tree. Rows without a tree id form one tree. Ties between branches go to the
+Messages on or under a cycle are on no path and are left out, as are messages
+without an id. Of rows that repeat an id in a tree, one stays: the least by parent,
+score, role and text, nulls first. Rows without a tree id form one tree. Ties between branches go to the
 smaller leaf id. An empty table gives no conversations; further columns are ignored.
 """
 
@@ -85,11 +86,24 @@ def root_paths(messages: DataFrame) -> DataFrame:
     return paths
 
 
-def format_trees(messages: DataFrame, tree: str, branches: int | None = None) -> DataFrame:
+def one_of_each(rows: DataFrame) -> DataFrame:
+    """One row of each tree and node, the least; rows without a node go. Copies are combined before the shuffle.
+
+    A tree's name follows from its key, so it is the same in all copies.
+    """
+    least = F.min(F.struct("parent", "score", "role", "text", "name")).alias("least")
+    found = rows.filter(F.col("node").isNotNull()).groupBy("tree", "node").agg(least)
+    return found.select("tree", "least.name", "node", "least.parent", "least.score", "least.role", "least.text")
+
+
+def format_trees(
+    messages: DataFrame, tree: str, branches: int | None = None, unique: bool = False
+) -> DataFrame:
     """One row per chosen path: the tree id, ``leaf, branch`` (rank), ``formatted`` and ``loss_spans``.
 
     ``messages`` has ``node, parent, score, role, text`` beside the tree id;
-    ``branches`` is the number of paths kept of each tree, all if not given.
+    ``branches`` is the number of paths kept of each tree, all if not given. ``unique``
+    says that no id repeats in its tree, as in ``chained`` rows, which saves a shuffle.
     """
     key = F.coalesce(F.concat(F.lit("="), F.col(tree).cast("string")), F.lit("")).alias("tree")
     rows = messages.select(
@@ -101,6 +115,8 @@ def format_trees(messages: DataFrame, tree: str, branches: int | None = None) ->
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
+    if not unique:
+        rows = one_of_each(rows)
     paths = root_paths(rows).join(rows.select("tree", "node", "score"), ["tree", "node"])
     leaves = paths.groupBy("tree", "leaf").agg(F.avg("score").alias("mean"))
     best = Window.partitionBy("tree").orderBy(F.col("mean").desc_nulls_last(), "leaf")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import keep, numbered
+from cohortloom.llm.common import keep, numbered, stored_rows, texts_of
 
 MIN_WORDS = 1
 _BLANK = re.compile(r"\n(?:[ \t]*\n)+")
@@ -102,7 +102,12 @@ def repeated_units(
     ``part`` is 0 for a whole unit. With ``sentence_words``, sentences of so many words at least are removed too
     where their unit stays; they are numbered from 1 in it. Spans of one document never overlap.
     """
-    slim = numbered(docs, id_column, text)
+    return _repeated(numbered(docs, id_column, text), id_column, paragraphs, min_words, sentence_words)
+
+
+def _repeated(
+    slim: DataFrame, id_column: str, paragraphs: bool, min_words: int, sentence_words: int | None
+) -> DataFrame:
     kind = slim.schema["id"].dataType.simpleString()
     rows = keep(slim.mapInArrow(_unit_batches(paragraphs, min_words, sentence_words), _UNITS.format(kind=kind)))
     rank = F.struct(F.col("id").isNull().alias("last"), "id", "row", "unit", "part")
@@ -132,14 +137,34 @@ def repeated_units(
     )
 
 
-def cut_spans(docs: DataFrame, spans: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents without the spans ``start, end`` (characters) of their id, and without the line break behind whole units."""
+def cut_repeats(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    paragraphs: bool = False,
+    min_words: int = MIN_WORDS,
+    sentence_words: int | None = None,
+) -> DataFrame:
+    """All documents, in the columns they came with, without their repeated units.
+
+    Spans belong to rows, so rows that share an id, or have none, lose their own repeats and no others'.
+    """
+    stored = stored_rows(docs)
+    spans = _repeated(texts_of(stored, id_column, text), id_column, paragraphs, min_words, sentence_words)
+    return cut_spans(stored, spans, text)
+
+
+def cut_spans(stored: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame:
+    """Documents of ``stored_rows`` without the spans ``start, end`` (characters) of their row, and without the line
+    break behind whole units."""
     behind = F.when(F.col("part") == 0, F.col("end") + 1).otherwise(F.col("end")) if "part" in spans.columns else F.col("end") + 1
     ordered = F.sort_array(F.collect_list(F.struct("start", behind.alias("end"))))
-    grouped = spans.groupBy(id_column).agg(ordered.alias("_spans"))
-    begin = "CASE WHEN i = 0 THEN 0 ELSE _spans[i - 1].end END"
-    stop = f"CASE WHEN i = size(_spans) THEN length({text}) ELSE _spans[i].start END"
-    piece = f"substring({text}, {begin} + 1, greatest(0, {stop} - ({begin})))"
-    kept = F.expr(f"array_join(transform(sequence(0, size(_spans)), i -> {piece}), '')")
-    whole = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(kept)
-    return docs.join(grouped, id_column, "left").withColumn(text, whole).select(*docs.columns)
+    grouped = spans.groupBy("row").agg(ordered.alias("spans"))
+    value = f"doc.`{text}`"
+    begin = "CASE WHEN i = 0 THEN 0 ELSE spans[i - 1].end END"
+    stop = f"CASE WHEN i = size(spans) THEN length({value}) ELSE spans[i].start END"
+    piece = f"substring({value}, {begin} + 1, greatest(0, {stop} - ({begin})))"
+    kept = F.expr(f"array_join(transform(sequence(0, size(spans)), i -> {piece}), '')")
+    whole = F.when(F.col("spans").isNull(), F.col("doc")[text]).otherwise(kept)
+    names = stored.schema["doc"].dataType.names
+    return stored.join(grouped, "row", "left").select(*((whole if c == text else F.col("doc")[c]).alias(c) for c in names))

@@ -56,7 +56,7 @@ def op2_chat(spark, folder):
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     more = [(-1, 0, "user", HOSTILE_TURN), (-1, 1, "assistant", HOSTILE_TURN)]
     rows = rows.unionByName(spark.createDataFrame(more, "conv_id bigint, turn bigint, role string, text string"))
-    chats = chat.format_trees(chat.chained(rows, "conv_id", "turn"), "conv_id")
+    chats = chat.format_trees(chat.chained(rows, "conv_id", "turn"), "conv_id", unique=True)
     read = chats.select(
         "conv_id",
         chat.read_turns(F.col("formatted")).alias("turns"),

@@ -61,6 +61,18 @@ def test_trees(spark):
     assert best == {k: v for k, v in expected.items() if v[0] == 1}
 
 
+def test_repeated_and_missing_nodes(spark):
+    rng = random.Random(5)
+    messages = [m for conv in (1, 2, None) for m in tree(rng, conv, 9)]
+    df = spark.createDataFrame(messages, MESSAGE)
+    expected = back(chat.format_trees(df, "conv"), "conv")
+    assert back(chat.format_trees(df, "conv", unique=True), "conv") == expected
+    # Whole copies change nothing; of differing copies the least stays, and a row without an id is nobody's answer.
+    more = messages * 3 + [(c, n, p, s + 1, r, t) for c, n, p, s, r, t in messages if p is not None]
+    more += [(1, None, 0, 9.0, "user", "no id"), (None, None, None, None, None, None)]
+    assert back(chat.format_trees(spark.createDataFrame(more, MESSAGE), "conv"), "conv") == expected
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 40])
 def test_chains(spark, n):
     rng = random.Random(n)

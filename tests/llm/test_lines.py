@@ -76,16 +76,36 @@ def test_sentences(documents):
 
 def test_cut_sentences(documents):
     docs = documents([(1, "This is one sentence. And two.\nend"), (2, "Here: new. This is one sentence.\nlast")])
-    kept = lines.cut_spans(docs, lines.repeated_units(docs, sentence_words=3)).collect()
+    kept = lines.cut_repeats(docs, sentence_words=3).collect()
     assert {r.doc_id: r.text for r in kept} == {1: "This is one sentence. And two.\nend", 2: "Here: new. \nlast"}
 
 
 def test_cut(documents):
     docs = documents([(1, f"{SAME}\nkeep"), (2, f"a\n{SAME}\nb\n{SAME}"), (3, SAME), (4, None)])
-    rows = lines.cut_spans(docs, lines.repeated_units(docs)).collect()
+    rows = lines.cut_repeats(docs).collect()
     assert {r.doc_id: r.text for r in rows} == {1: f"{SAME}\nkeep", 2: "a\nb\n", 3: "", 4: None}
 
 
+def test_cut_goes_by_row(documents):
+    pairs = [(None, SAME), (None, f"x\n{SAME}"), (1, f"{SAME}\none"), (1, f"two\n{SAME}\nrest"), (2, f"{SAME}")]
+    docs = documents(pairs).withColumnsRenamed({"lang": "_spans", "source": "row", "n_chars": "spans"})
+    cut = lines.cut_repeats(docs)
+    assert cut.dtypes == docs.dtypes
+    found = sorted(((r.doc_id, r.text) for r in cut.collect()), key=str)
+    firsts = [f"{SAME}\none", "one"]  # either row with id 1 may be the first of the two
+    assert found in [
+        sorted([(None, ""), (None, "x\n"), (1, a), (1, b), (2, "")], key=str)
+        for a, b in ((firsts[0], "two\nrest"), (firsts[1], f"two\n{SAME}\nrest"))
+    ]
+
+
+def test_very_long_texts(documents):
+    line = "word " * 300_000
+    docs = documents([(1, f"{line}\nown"), (2, f"first\n{line}"), (3, "z" * 2_000_000), (4, "z" * 2_000_000 + "\nend"), (5, "")])
+    kept = {r.doc_id: r.text for r in lines.cut_repeats(docs).collect()}
+    assert kept == {1: f"{line}\nown", 2: "first\n", 3: "z" * 2_000_000, 4: "end", 5: ""}
+
+
 def plain_chunks(pairs):
     seen, removed = {}, []
     for i, text in sorted(pairs):

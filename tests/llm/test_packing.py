@@ -12,9 +12,9 @@ from tokenizers import Tokenizer
 
 from cohortloom.llm import packing
 
-ENCODING = packing.load_encoding(public_tokenizers.path(packing.RANKS))
-TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-TOKENIZER.encode_special_tokens = True
+VOCABULARY = public_tokenizers.path(packing.VOCABULARY)
+ENCODING = packing.load_encoding(public_tokenizers.path(packing.RANKS), packing.added_tokens(VOCABULARY))
+TOKENIZER = Tokenizer.from_file(VOCABULARY)
 
 
 def plain_ids(text):
@@ -22,7 +22,11 @@ def plain_ids(text):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(max_size=80) | st.text("ab '\n\tsé1!.  ", max_size=60))
+@given(
+    st.text(max_size=80)
+    | st.text("ab '\n\tsé1!.  ", max_size=60)
+    | st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "a"]), max_size=8).map("".join)
+)
 def test_ids_are_the_tokenizers(text):
     assert packing.token_ids(ENCODING, text).tolist() == plain_ids(text)
 
@@ -87,5 +91,21 @@ def test_sequences(monkeypatch, documents, group):
         assert len(placed) <= -(-sum(r.length for r in rows) // 1024) + 2
 
 
+def test_whole_table(spark):
+    """Ids of all texts are the tokenizer's, and sequences are about as few as their tokens could fill."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = packing.pack(docs).collect()
+    pieces = {(r.doc_id, r.piece): r for r in rows}
+    for doc in docs.collect():
+        ids = plain_ids(doc.text)
+        for piece, (start, length) in enumerate(packing.cuts(len(ids), 1024)):
+            crc = zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes())
+            r = pieces.pop((doc.doc_id, piece))
+            assert (r.start, r.length, r.ids_crc32) == (start, length, crc)
+    assert not pieces
+    bound = -(-sum(r.length for r in rows) // 1024)
+    assert bound <= len({r.sequence_id for r in rows}) <= bound + 2
+
+
 def test_empty(documents):
     assert packing.pack(documents([])).count() == 0

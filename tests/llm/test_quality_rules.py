@@ -1,6 +1,9 @@
 """The rule ensemble: held-out accuracy, compiled rules against the forest's paths, odd inputs."""
 
 import binascii
+import math
+import re
+import string
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,6 +51,54 @@ def test_statistics(spark):
     assert all(v == 0 for r in rest for v in r)
 
 
+def plain_statistics(text):
+    """The twelve statistics, counted character by character."""
+    text = text or ""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    rows = [line for line in text.split("\n") if line]
+    chars = len(text)
+
+    def share(of, whole):
+        return of / whole if whole else 0.0
+
+    def kind(characters):
+        return share(sum(c in characters for c in text), chars)
+
+    return {
+        "log_chars": math.log1p(chars),
+        "log_words": math.log1p(len(words)),
+        "word_chars": share(chars, len(words)),
+        "line_words": share(len(words), len(rows)),
+        "beyond_ascii": share(len(text.encode()) - chars, chars),
+        "upper": kind(string.ascii_uppercase),
+        "digits": kind(string.digits),
+        "stops": kind(".,;:"),
+        "marks": kind("!?"),
+        "symbols": kind("#$%&*+/<=>@\\^_`{|}~()[]-"),
+        "distinct_words": share(len(set(words)), len(words)),
+        "distinct_lines": share(len(set(rows)), len(rows)),
+    }
+
+
+def test_scores_equal_plain_ones(spark, documents):
+    """Statistics, rules, weights and the logistic function, all again in Python, for every document."""
+    small = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    model = quality.fit(docs, spark.read.parquet(f"{small}/labels.parquet"))
+    assert len(model.weighted) > 5
+    odd = [(-1, None), (-2, ""), (-3, " \n\t\n"), (-4, "É\U0001f600 é!?\n\nA-b [c] 12"), (-5, "a\\b " * 20_000)]
+    every = docs.select("doc_id", "text").union(documents(odd).select("doc_id", "text"))
+    texts = {r.doc_id: r.text for r in every.collect()}
+    for r in quality.quality_scores(every, model).collect():
+        stats = plain_statistics(texts[r.doc_id])
+        total = model.intercept
+        for rule, weight in model.weighted:
+            if all(low < stats[model.names[i]] <= high for i, low, high in rule.ranges):
+                total += weight
+        score = 1 / (1 + math.exp(-total))
+        assert abs(r.score - score) < 1e-9 and r.predicted == (score >= 0.7), r.doc_id
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1)], [(1, 0), (3, 0)], [(1, None)]])
 def test_few_labels_and_odd_rows(spark, documents, labels):
     docs = documents([(1, "good text"), (3, None), (None, ""), (3, "x" * 300_000)]).withColumn("score", F.lit("mine"))
