@@ -132,19 +132,21 @@ class StageStore:
         df: DataFrame,
         by: Sequence[str],
         buckets: int,
-        accept: Callable[[], Mapping[str, Any]] | None = None,
+        accept: Callable[[DataFrame], Mapping[str, Any]] | None = None,
+        hidden: Sequence[str] = (),
     ) -> None:
         """Store a table in buckets of ``by``, sorted in each, so that grouping or joining by it moves no rows.
 
         Rows should come partitioned by these columns into as many parts, else
-        buckets are of several files; they are read alike. ``accept`` is called after the write and before the
-        stage enters the manifest; its result is the metadata, and if it raises, what was written goes.
+        buckets are of several files; they are read alike. ``accept`` gets the written table before the
+        stage enters the manifest; its result is the metadata, and if it raises, what was written goes. ``hidden``
+        columns are for it alone: ``load`` leaves them out.
         """
         path, table = self.folder.at(f"{name}-{uuid.uuid4().hex}"), f"stage_{uuid.uuid4().hex}"
         try:
             writer = df.write.format("parquet").bucketBy(buckets, *by).sortBy(*by).option("path", path)
             writer.saveAsTable(table)
-            metadata = dict(accept() if accept else {})
+            metadata = dict(accept(self.spark.table(table)) if accept else {})
         except BaseException:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
             self.folder.delete(path)
@@ -157,6 +159,7 @@ class StageStore:
             "table": table,
             "by": list(by),
             "buckets": buckets,
+            "hidden": list(hidden),
             "schema": self.spark.table(table).schema.jsonValue(),
             "timestamp": dt.datetime.now(dt.UTC).isoformat(),
             "size_mb": round(self.folder.size(path) / 2**20, 2),
@@ -177,7 +180,7 @@ class StageStore:
                 f"CREATE TABLE {entry['table']} ({columns}) USING parquet "
                 f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {entry['buckets']} BUCKETS LOCATION '{path}'"
             )
-        return self.spark.table(entry["table"])
+        return self.spark.table(entry["table"]).drop(*entry["hidden"])
 
     def load(self, name: str) -> Result | None:
         """The stored result, or None when there is none."""

@@ -3,17 +3,23 @@
 import random
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import types as T
 
 from cohortloom import PipelineSpec
 from cohortloom.operators.prepare import preprocess
 from cohortloom.operators.quality import duplicate_count, validate, validation_report
-from cohortloom.plans.checked import classes_seen, run_checked
+from cohortloom.plans.checked import FACTS, run_checked, stored_facts
 from cohortloom.plans.stages import StageStore
 
 SPEC = PipelineSpec(("id", "part"), "target", "day", "2024-01-01")
 SCHEMA = "id int, part string, target string, day string, x double, flag boolean"
 
 
+POINTS = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT())])
+
+
 def good_rows(n=300):
     draw = random.Random(8)
     return [
@@ -134,17 +140,17 @@ def test_static_rules_come_in_their_order(spark, tmp_path):
         run_checked(store, "s", odd.drop("part"), SPEC, 4)
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_classes_from_sums(seed):
-    draw = random.Random(seed)
-    for k in range(5):
-        codes = [draw.randrange(1 << 40) for _ in range(k)]
-        rows = codes + [draw.choice(codes) for _ in range(200 if k else 0)]
-        facts = {
-            "n": len(rows),
-            "low": min(rows, default=None),
-            "high": max(rows, default=None),
-            "sum": sum(rows),
-            "squares": sum(r * r for r in rows),
-        }
-        assert classes_seen(facts) == min(k, 3)
+def test_models_work_after_a_checked_stage(spark, tmp_path):
+    run_checked(StageStore(spark, str(tmp_path)), "s", frame(spark), SPEC, 4)
+    points = spark.createDataFrame([(float(i % 2), Vectors.dense(i, i % 3)) for i in range(40)], POINTS)
+    model = RandomForestClassifier(numTrees=2, seed=1).fit(points)
+    assert model.transform(points).count() == model.transform(points).checkpoint().count() == 40
+
+
+def test_the_check_reads_no_features(spark, tmp_path):
+    store = StageStore(spark, str(tmp_path))
+    run_checked(store, "s", frame(spark), SPEC, 4)
+    text = plan(stored_facts(spark.table(store.info("s")["table"]), SPEC))
+    schema = text.split("ReadSchema: ")[1]
+    assert "x:" not in schema and "flag:" not in schema
+    assert FACTS not in store.load("s").columns
