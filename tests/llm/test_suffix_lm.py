@@ -127,6 +127,16 @@ def test_held_out_texts_are_likelier_than_by_single_tokens(spark):
     assert rows.filter("score > 0 OR isnan(score)").isEmpty()
 
 
+def test_least_count_is_the_same_for_a_large_corpus(spark):
+    short = spark.range(5100).selectExpr("id AS doc_id", "concat('zz', id % 100, ' yy', id % 100) AS text")
+    long = spark.range(14).selectExpr("10000 + id", "repeat('a ', 1000000)")
+    asked = spark.createDataFrame([(-1, "zz3 yy3")], short.schema)
+    rows = suffix_lm.suffix_tree_scores(short.union(long).union(asked), F.col("doc_id") < 0)
+    found = rows.filter("held_out").first()
+    # Pairs of 51 occurrences are learned as they are beside 14 million other tokens.
+    assert found["train_tokens"] > 14e6 and found["score"] > -3
+
+
 def test_numbers_survive_packing():
     for values in ([], [0], [1, 2, 1 << 40], list(range(1000))):
         assert suffix_lm.unpack(suffix_lm.pack(np.array(values, np.uint64))).tolist() == values
